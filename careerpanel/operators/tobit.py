@@ -23,7 +23,7 @@ REGRESSORS = ["frau", "age", "age_sq", "age_old", "age_sq_old", "tage_job", "ten
 KEY = ["persnr", "spell", "begepi"]
 MAX_CELLS = 100_000
 MAX_STEPS = 60
-TOLERANCE = 1e-10
+TOLERANCE = 1e-6
 
 
 def in_sample(x: list[str] = REGRESSORS, y: str = "ln_wage", cens: str = "cens") -> Column:
@@ -81,33 +81,42 @@ def design_moments(
     )
 
 
-def _censored_step(
-    points: DataFrame, params: DataFrame, cells: list[str], x: list[str]
-) -> DataFrame:
-    """Log-likelihood, gradient and Hessian of the censored points at each cell's parameters."""
+def _censored_step(cells: list[str], x: list[str]):
+    """A function of points and parameters: log-likelihood, gradient and Hessian of each cell.
+
+    The column expressions are built once and serve all steps.
+    """
     xs = _regressor_columns(x)
     index = F.lit(0.0)
     for i, c in enumerate(xs):
         index = index + F.col("delta")[i] * c
-    # the parameters are one row per cell, at most MAX_CELLS
-    rows = (
-        points.join(F.broadcast(params), cells)
-        .withColumn("z", index - F.col("theta") * F.col("c"))
-        .withColumn("lam", normal.mills(F.col("z")))
-        .select(
-            *cells, *x, "c", "n",
-            (F.col("n") * normal.log_lower_tail(F.col("z"))).alias("ll"),
-            (F.col("n") * F.col("lam")).alias("nl"),
-            (F.col("n") * F.col("lam") * (F.col("lam") + F.col("z"))).alias("nw"),
-        )
-    )
-    k = len(xs)
+    z, lam, n = F.col("z"), F.col("lam"), F.col("n")
+    distance, ratio = index - F.col("theta") * F.col("c"), normal.mills(z)
+    terms = [
+        (n * normal.log_lower_tail(z)).alias("ll"),
+        (n * lam).alias("nl"),
+        (n * lam * (lam + z)).alias("nw"),
+    ]
     aug = [*xs, -F.col("c")]
-    return rows.groupBy(*cells).agg(
+    k = len(aug)
+    sums = [
         F.sum("ll").alias("ll"),
-        *[F.sum(F.col("nl") * aug[i]).alias(f"g_{i}") for i in range(k + 1)],
-        *[F.sum(F.col("nw") * aug[i] * aug[j]).alias(f"h_{i}_{j}") for i, j in _pairs(k + 1)],
-    )
+        *[F.sum(F.col("nl") * aug[i]).alias(f"g_{i}") for i in range(k)],
+        *[F.sum(F.col("nw") * aug[i] * aug[j]).alias(f"h_{i}_{j}") for i, j in _pairs(k)],
+    ]
+
+    def step(points: DataFrame, params: DataFrame) -> DataFrame:
+        # the parameters are one row per cell, at most MAX_CELLS
+        return (
+            points.join(F.broadcast(params), cells)
+            .withColumn("z", distance)
+            .withColumn("lam", ratio)
+            .select(*cells, *x, "c", *terms)
+            .groupBy(*cells)
+            .agg(*sums)
+        )
+
+    return step
 
 
 @dataclass
@@ -192,10 +201,11 @@ class _Cell:
             self.at, self.ll = self.trial, ll
             self.step = np.linalg.solve(-hess, grad)
             self.slope = float(grad @ self.step)
-            if self.slope <= TOLERANCE * max(1.0, abs(ll)):
-                self.status = "ok"
-                return
             self.trial = self.at + self.step
+            if self.slope <= TOLERANCE and self.trial[-1] > 0:
+                # so close, one more step leaves an error far below this one
+                self.at, self.status = self.trial, "ok"
+                return
             while self.trial[-1] <= 0:
                 self._shorten()
         if self.steps >= MAX_STEPS:
@@ -245,6 +255,7 @@ def fit_censored(
             + [T.StructField("theta", T.DoubleType())]
         )
         censored = points.where(F.col("cens") == 1)
+        step = _censored_step(cells, x)
         while True:
             active = [s for s in states.values() if s.status == "open"]
             if not active:
@@ -252,7 +263,7 @@ def fit_censored(
             params = spark.createDataFrame(
                 [(*s.key, *s.unscaled(s.trial)) for s in active], param_schema
             )
-            for row in _censored_step(censored, params, cells, x).collect():
+            for row in step(censored, params).collect():
                 states[tuple(row[c] for c in cells)].update(row)
     finally:
         points.unpersist()

@@ -128,7 +128,7 @@ enr AS (
   SELECT bio.*, occ.kldb92_2 AS occ_kldb92_2, blo.occ_blo AS occ_blo,
          CASE WHEN ausbildung IN (5, 6, 11, 12) THEN 3 WHEN ausbildung IN (2, 4) THEN 2
               WHEN ausbildung IN (1, 3) THEN 1 END AS educ,
-         ao_bula, east, limit_assess, limit_marginal,
+         limit_assess, limit_marginal,
          CASE WHEN tentgelt_gr <= limit_marginal THEN 1 WHEN tentgelt_gr > limit_marginal THEN 0 END
            AS marginal,
          cpi, 100 * tentgelt_gr / cpi AS wage_defl, 100 * limit_marginal / cpi AS limit_marginal_defl,
