@@ -113,3 +113,12 @@ def quantile(p: Column) -> Column:
         _ratio(QUANTILE_TAIL, r - 5.0)
     )
     return F.when(F.abs(q) <= 0.425, centre).when(q < 0, -size).otherwise(size)
+
+
+def bound(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once.
+
+    The functions above name their argument dozens of times. Where the optimizer may put the
+    argument's own expression in its place (a filter moved below a projection), bind it first.
+    """
+    return F.transform(F.array(value), fn)[0]

@@ -52,9 +52,15 @@ def _kth(values: DataFrame, k: int, low: float, high: float, n: int) -> float:
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     """Continuous quantile ``q`` of ``col`` with linear interpolation; nulls and NaN do not count."""
-    values = df.select(F.col(col).cast("double").alias("x")).where(
-        F.col("x").isNotNull() & ~F.isnan("x")
-    )
+    # one narrow column that every pass reads again
+    values = df.select(F.nanvl(F.col(col).cast("double"), F.lit(None)).alias("x")).persist()
+    try:
+        return _quantile(values, q)
+    finally:
+        values.unpersist()
+
+
+def _quantile(values: DataFrame, q: float) -> float | None:
     span = values.agg(
         F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
     ).first()

@@ -312,21 +312,20 @@ def draw_censored(
     xb = F.col("beta")[0]
     for i, c in enumerate(x, 1):
         xb = xb + F.col("beta")[i] * F.col(c)
-    alpha = (F.col("ln_limit_assess4") - F.col("_xb")) / F.col("sigma")
-    tail = uniform(seed) * normal.lower_tail(-alpha)
-    draw = F.col("_xb") - F.col("sigma") * normal.quantile(F.col("_tail"))
-    sample = in_sample(x)
+    sigma, sample = F.col("sigma"), in_sample(x)
+    beyond = (F.col("_xb") - F.col("ln_limit_assess4")) / sigma
+    tail = uniform(seed) * normal.bound(beyond, normal.lower_tail)
+    draw = F.col("_xb") - sigma * normal.bound(tail, normal.quantile)
     return (
         df.join(known, cells, "left")
         .withColumn("_xb", F.when(sample & (F.col("cens") == 1), xb))
-        .withColumn("_tail", F.when(F.col("_xb").isNotNull(), tail))
         .withColumn(
             "ln_wage_imp",
             F.when(F.col("_xb").isNotNull(), draw).when(
                 sample & (F.col("cens") == 0), F.col("ln_wage")
             ),
         )
-        .drop("beta", "sigma", "_xb", "_tail")
+        .drop("beta", "sigma", "_xb")
     )
 
 

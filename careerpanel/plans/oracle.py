@@ -170,8 +170,8 @@ par AS (
   WINDOW w AS (PARTITION BY persnr, begepi)),
 main AS (
   SELECT *, row_number() OVER (PARTITION BY persnr ORDER BY begepi) AS nspell
-  FROM par
-  QUALIFY row_number() OVER (PARTITION BY persnr, begepi ORDER BY quelle_gr, {order}, spell, endepi) = 1),
+  FROM (SELECT * FROM par QUALIFY row_number() OVER
+        (PARTITION BY persnr, begepi ORDER BY quelle_gr, {order}, spell, endepi) = 1)),
 tot AS (
   SELECT *, sum(dur_emp) OVER w AS year_days_emp, sum(dur_benefits) OVER w AS year_days_benefits,
          sum(parallel_wage_imp * dur_emp) OVER w AS year_labor_earn
