@@ -167,7 +167,7 @@ class _Cell:
         if rss <= 1e-12 * max(self.yy, 1.0):
             self.status = "no residual variance"
             return
-        theta = np.sqrt(n / rss)
+        theta = np.sqrt((n if self.n_cens == 0 else n - len(self.keep)) / rss)
         self.trial = np.append(beta * theta, theta)
         if self.n_cens == 0:
             self.at, self.slope, self.status = self.trial, 0.0, "ok"
