@@ -500,7 +500,7 @@ QUERIES: dict[str, Query] = {
     # panel
     "p1_parallel": Query(
         lambda s, d: panel.add_parallel_totals(_parallel_input(s, d)).merged(),
-        ROW + " i:parallel_jobs r4:parallel_wage r4:parallel_wage_imp i:parallel_benefits",
+        ROW + " i:parallel_jobs r6:parallel_wage r6:parallel_wage_imp i:parallel_benefits",
         _from("par"),
     ),
     "p2_main_by_wage": Query(
@@ -547,13 +547,13 @@ QUERIES: dict[str, Query] = {
     # the whole job; columns that do not depend on a draw have an exact oracle
     "f1_panel": Query(
         _panel,
-        MAIN + " ein_erw i:tage_erw i:anz_lst i:tage_lst i:parallel_jobs r4:parallel_wage"
+        MAIN + " ein_erw i:tage_erw i:anz_lst i:tage_lst i:parallel_jobs r6:parallel_wage"
         " i:parallel_benefits i:year_days_emp i:year_days_benefits",
         _from("cut"),
     ),
     "f1_panel_full": Query(
         _panel,
-        MAIN + " i:year_days_emp r6:wage r6:wage_imp r4:parallel_wage_imp r2:year_labor_earn",
+        MAIN + " i:year_days_emp r6:wage r6:wage_imp r6:parallel_wage_imp r2:year_labor_earn",
     ),
 }
 
