@@ -31,6 +31,24 @@ def running(keys: Iterable[str], order: Iterable[str]) -> WindowSpec:
     return ordered(keys, order).rowsBetween(*SO_FAR)
 
 
+def pack(df: DataFrame, keep: Iterable[str]) -> DataFrame:
+    """All columns but ``keep`` as one struct ``_rest``.
+
+    A row of few columns moves through a chain of sorts and windows as one copy of bytes; code
+    generated for a very wide row exceeds what the JVM compiles and runs many times slower.
+    """
+    keep = [c for c in df.columns if c in set(keep)]
+    rest = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.struct(*rest).alias("_rest")) if rest else df
+
+
+def unpack(df: DataFrame) -> DataFrame:
+    """Undo :func:`pack`."""
+    if "_rest" not in df.columns:
+        return df
+    return df.select(*[c for c in df.columns if c != "_rest"], "_rest.*")
+
+
 def left_null_safe(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on ``keys`` in which null matches null; adds the other columns of ``other``."""
     right = other.withColumnsRenamed({k: f"_right_{k}" for k in keys})

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from careerpanel.functions.frames import pack, unpack
 from careerpanel.functions.people import BLOCK, ROW_LIMIT, People, by_person
 from careerpanel.operators import biography, censor, enrich, panel, split, tobit
 from careerpanel.schema import PANEL, conform
@@ -16,14 +17,25 @@ from careerpanel.sources.lookups import Lookups, default_lookups
 from careerpanel.sources.staging import stage
 
 
+# what the windows of each half of the job look at; all other columns travel packed
+BIOGRAPHY_COLUMNS = [
+    "persnr", "spell", "begorig", "begepi", "endepi", "quelle_gr", "erwstat_gr", "bnn", "grund_gr",
+]
+PANEL_COLUMNS = [
+    "persnr", "spell", "year", "begepi", "endepi", "quelle_gr", "erwstat_gr", "tentgelt_gr",
+    "wage_imp", "tage_bet", "tage_job", "tage_erw", "tage_lst",
+]
+
+
 def build_biographies(people: People, compat: bool = False) -> People:
     """E1, E4, E5 and B1-B11 on placed episodes."""
     people = people.map(split.add_year_age).map(split.split_episodes)
+    people = people.map(pack, BIOGRAPHY_COLUMNS)
     people = split.add_counters(people)
     people = biography.add_employment(people, compat=compat)
     people = biography.add_establishment(people, compat=compat)
     people = biography.add_jobs(people, compat=compat)
-    return biography.add_benefits(people)
+    return biography.add_benefits(people).map(unpack)
 
 
 def enrich_episodes(df: DataFrame, lookups: Lookups) -> DataFrame:
@@ -52,10 +64,20 @@ def impute_wages(
     return censor.drop_helpers(censor.cap_wage(drawn, compat=compat))
 
 
-def finish_panel(people: People, handling: str = "wage", month: int = 6, day: int = 30) -> People:
-    """P1-P9."""
+def finish_panel(
+    df: DataFrame,
+    handling: str = "wage",
+    month: int = 6,
+    day: int = 30,
+    row_limit: int = ROW_LIMIT,
+    block: int = BLOCK,
+    heavy_ids: tuple[int, ...] | None = None,
+) -> DataFrame:
+    """P1-P9 on rows with imputed wages."""
+    wanted = [c for c in df.columns if c in PANEL or c == "spell"]
+    people = by_person(pack(df.select(*wanted), PANEL_COLUMNS), row_limit, block, heavy_ids)
     people = panel.handle_parallel_episodes(people, handling)
-    return panel.build_yearly_panel(people, month, day)
+    return unpack(panel.build_yearly_panel(people, month, day).merged())
 
 
 def prepare_panel(
@@ -75,5 +97,6 @@ def prepare_panel(
         people.map(enrich_episodes, lookups).map(prepare_wages).merged(), "prepared"
     )
     imputed = impute_wages(prepared, seed, compat)
-    placed = by_person(imputed, row_limit, block, heavy_ids=people.heavy_ids)
-    return finish_panel(placed, handling, *cutoff).merged().select(*PANEL)
+    return finish_panel(
+        imputed, handling, *cutoff, row_limit=row_limit, block=block, heavy_ids=people.heavy_ids
+    ).select(*PANEL)

@@ -90,7 +90,7 @@ def test_panel_takes_one_exchange(spark, stored):
     rows = ingest.read_episodes(spark, stored).withColumns(
         {"year": F.year("begepi"), **{c: F.lit(1.0) for c in ("wage_imp", "tage_bet", "tage_job", "tage_erw", "tage_lst")}}
     )
-    plan = _plan(pipeline.finish_panel(by_person(rows)).merged())
+    plan = _plan(pipeline.finish_panel(rows))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "WindowGroupLimit" in plan and "SinglePartition" not in plan
 
