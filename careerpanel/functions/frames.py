@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BEFORE = (Window.unboundedPreceding, -1)
+ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def three_valued(cond: Column, yes, no) -> Column:
@@ -22,8 +23,12 @@ def days(beg: str = "begepi", end: str = "endepi") -> Column:
 
 
 def ordered(keys: Iterable[str], order: Iterable[str]) -> WindowSpec:
-    """Window over ``keys``, ascending by ``order`` with nulls last."""
-    return Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    """Window over ``keys``, ascending by ``order``.
+
+    ``spell`` and the bounds of split episodes are never null, so the plain order is used: it is
+    the one Spark sorts partition keys by, and windows with a common prefix then share a sort.
+    """
+    return Window.partitionBy(*keys).orderBy(*order)
 
 
 def running(keys: Iterable[str], order: Iterable[str]) -> WindowSpec:

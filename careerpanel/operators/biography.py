@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from careerpanel.functions.carry import carry
 from careerpanel.functions.frames import (
+    ALL,
     BEFORE,
     SO_FAR,
     days,
@@ -35,6 +36,13 @@ def add_flags(df: DataFrame) -> DataFrame:
     )
 
 
+def _first_at_start(kind: Column) -> Column:
+    """Whether a row is the first of its kind, by ``spell``, at its start day."""
+    before = ordered(["persnr"], ["begepi", "spell"]).rowsBetween(*BEFORE)
+    latest = F.last(F.when(kind, F.col("begepi")), ignorenulls=True).over(before)
+    return kind & F.coalesce(latest != F.col("begepi"), F.lit(True))
+
+
 # --- employment: B2, B3 ---------------------------------------------------------------------
 
 
@@ -64,18 +72,17 @@ def _add_employment(df: DataFrame, compat: bool = False) -> DataFrame:
     Of parallel employment episodes with one start only the first counts; training never does.
     All rows of a start carry the same total, hence the frame that includes peers.
     """
-    start = running(["persnr", "begepi"], ["spell", "endepi"])
-    person = ordered(["persnr"], ["begepi"])
+    days_order = ordered(["persnr"], ["begepi"])
     df = add_flags(df)
-    counts = (F.col("emp") == 1) & (F.sum("emp").over(start) == 1)
+    counts = _first_at_start(F.col("emp") == 1)
     return (
         df.withColumn("_days", F.when(counts, days()))
         .withColumns(
             {
                 "tage_erw": _days_employed(
-                    F.sum("_days").over(person.rangeBetween(*SO_FAR)), compat
+                    F.sum("_days").over(days_order.rangeBetween(*SO_FAR)), compat
                 ),
-                "ein_erw": _first_days(compat, ordered(["persnr"], [])),
+                "ein_erw": _first_days(compat, days_order.rowsBetween(*ALL)),
             }
         )
         .drop("_days", "emp")
@@ -114,17 +121,22 @@ def _add_establishment(df: DataFrame, compat: bool = False) -> DataFrame:
     Episodes with the same bounds count once. Both are null where ``bnn`` is unknown.
     """
     firm = ["persnr", "bnn"]
-    bounds = ordered(firm + ["begepi", "endepi"], ["spell"])
+    by_bounds = ordered(firm, ["begepi", "endepi", "spell"])
     known = F.col("bnn").isNotNull()
-    entry = F.min("begepi").over(ordered(firm, []))
+    entry = F.min("begepi").over(by_bounds.rowsBetween(*ALL))
+    again = (F.lag("begepi").over(by_bounds) == F.col("begepi")) & (
+        F.lag("endepi").over(by_bounds) == F.col("endepi")
+    )
     return (
-        df.withColumn("_days", F.when(F.row_number().over(bounds) == 1, days()).otherwise(0))
-        .withColumns(
+        df.withColumns(
             {
+                "_days": F.when(again, 0).otherwise(days()),
                 "ein_bet": entry if compat else F.when(known, entry),
-                "tage_bet": F.when(known, F.sum("_days").over(running(firm, ["spell", "begepi"]))),
             }
         )
+        .withColumn(
+            "tage_bet", F.when(known, F.sum("_days").over(running(firm, ["spell", "begepi"])))
+        )
         .drop("_days")
     )
 
@@ -191,46 +203,43 @@ def _add_jobs(
     Both are null where the firm or the training flag is unknown.
     """
     w = ordered(JOB, ["begepi", "spell"])
-    so_far = w.rowsBetween(*SO_FAR)
-    day = ordered(JOB + ["begepi"], ["spell"])
+    so_far, before = w.rowsBetween(*SO_FAR), w.rowsBetween(*BEFORE)
     known = F.col("bnn").isNotNull() & F.col("azubi").isNotNull()
-    df = df.withColumns(
+    first = F.col("_beg").isNull()
+    opens_day = first | (F.col("_beg") != F.col("begepi"))
+    df = df.withColumns({"_end": F.lag("endepi").over(w), "_beg": F.lag("begepi").over(w)})
+    df = df.withColumn("_days", F.when(opens_day, days()).otherwise(0)).withColumns(
         {
-            "_nr": F.row_number().over(w),
-            "_reason": F.first("grund_gr").over(day),
-            "_end": F.lag("endepi").over(w),
-            "_beg": F.lag("begepi").over(w),
+            # a struct, so that a missing reason is not skipped
+            "_reason": F.last(
+                F.when(opens_day, F.struct("grund_gr")), ignorenulls=True
+            ).over(before)["grund_gr"],
+            "_total": F.sum("_days").over(so_far),
         }
-    ).withColumn("_reason", F.lag("_reason").over(w))
-    first = F.col("_nr") == 1
+    )
     gap = F.datediff("begepi", "_end") - 1
-    df = df.withColumns(
-        {
-            "_new": _starts_job(
-                first, gap, F.col("_reason"), short, long, end_reasons, compat
-            ),
-            "_days": F.when(first | (F.col("_beg") != F.col("begepi")), days()).otherwise(0),
-        }
+    df = df.withColumn(
+        "_new", _starts_job(first, gap, F.col("_reason"), short, long, end_reasons, compat)
     )
+
+    def at_start(value):
+        return F.last(F.when(F.col("_new"), value), ignorenulls=True).over(so_far)
+
     df = df.withColumns(
         {
-            "_total": F.sum("_days").over(so_far),
-            "ein_job": F.when(
-                known, F.last(F.when(F.col("_new"), F.col("begepi")), ignorenulls=True).over(so_far)
+            "ein_job": F.when(known, at_start(F.col("begepi"))),
+            "tage_job": F.when(
+                known, F.col("_total") - at_start(F.col("_total") - F.col("_days"))
             ),
         }
     )
-    base = F.last(
-        F.when(F.col("_new"), F.col("_total") - F.col("_days")), ignorenulls=True
-    ).over(so_far)
-    df = df.withColumn("tage_job", F.when(known, F.col("_total") - base))
     if compat:
         # a job of one row stays without dates
         single = F.col("_new") & F.coalesce(F.lead("_new").over(w), F.lit(True))
         df = df.withColumn("_single", single).withColumns(
             {c: F.when(~F.col("_single"), F.col(c)) for c in ("ein_job", "tage_job")}
         ).drop("_single")
-    return df.drop("_nr", "_reason", "_end", "_beg", "_new", "_days", "_total")
+    return df.drop("_reason", "_end", "_beg", "_new", "_days", "_total")
 
 
 def _add_jobs_spread(
@@ -358,14 +367,12 @@ def _add_benefits(
     A receipt is the first benefit row at its start that begins more than ``max_gap`` days after
     the end of the last benefit row before it (in the order of ``spell``), or has none before it.
     """
-    start = running(["persnr", "begepi"], ["spell", "endepi"])
     person = ordered(["persnr"], ["spell", "begepi"])
     benefit = F.coalesce(F.col("quelle_gr").isin(list(sources)), F.lit(False))
-    first = benefit & (F.sum(benefit.cast("int")).over(start) == 1)
     last_end = F.last(F.when(benefit, F.col("endepi")), ignorenulls=True)
     so_far = person.rowsBetween(*SO_FAR)
     return (
-        df.withColumn("_first", first)
+        df.withColumn("_first", _first_at_start(benefit))
         .withColumn("ende_vor", last_end.over(person.rowsBetween(*BEFORE)))
         .withColumns(_benefit_columns(max_gap))
         .withColumns(

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careerpanel.functions.frames import days, left_null_safe, ordered, three_valued
+from careerpanel.functions.frames import ALL, days, left_null_safe, ordered, three_valued
 from careerpanel.functions.people import People, PersonStep
 
 START = ["persnr", "begepi"]
@@ -53,15 +53,17 @@ def _check_handling(handling: str) -> tuple[str, str]:
     return HANDLING[handling]
 
 
+def _main_order(handling: str) -> list[Column]:
+    best = [F.desc_nulls_last(c) for c in _check_handling(handling)]
+    return [F.asc_nulls_last("quelle_gr"), *best, F.col("spell"), F.col("endepi")]
+
+
 def _main_episode(df: DataFrame, handling: str = "wage") -> DataFrame:
     """One row per person and start: lowest source, then highest wage and longest tenure.
 
     ``handling="tenure"`` looks at tenure first. Nulls come last; ties go to the lowest ``spell``.
     """
-    by = _check_handling(handling)
-    w = ordered(START, []).orderBy(
-        F.asc_nulls_last("quelle_gr"), *[F.desc_nulls_last(c) for c in by], "spell", "endepi"
-    )
+    w = ordered(START, []).orderBy(*_main_order(handling))
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
@@ -81,7 +83,7 @@ main_episode = PersonStep(_main_episode, _main_episode_spread)
 
 def _add_nspell(df: DataFrame) -> DataFrame:
     """Number of the episode in the person's life, after P2 (one row per start)."""
-    return df.withColumn("nspell", F.row_number().over(ordered(["persnr"], ["begepi"])).cast("long"))
+    return df.withColumn("nspell", F.row_number().over(ordered(["persnr"], ["year", "begepi"])).cast("long"))
 
 
 # after P2 a person has at most one row per calendar day, so its window is small in any case
@@ -93,10 +95,39 @@ def drop_levels(df: DataFrame) -> DataFrame:
     return df.drop("spell", "level1", "level2")
 
 
+def _reduce_parallel(
+    df: DataFrame, handling: str = "wage", benefit_sources: tuple[int, ...] = (2,)
+) -> DataFrame:
+    """P1 and P2 in one window. ``year`` is that of ``begepi``; with it in front, the same sort
+    serves P3 and P6."""
+    w = ordered(["persnr", "year", "begepi"], []).orderBy(*_main_order(handling))
+    totals = _parallel_totals(benefit_sources)
+    return (
+        df.withColumns(
+            {
+                **{name: c.over(w.rowsBetween(*ALL)) for name, c in totals.items()},
+                "_rank": F.row_number().over(w),
+            }
+        )
+        .where(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
+def _reduce_parallel_spread(
+    df: DataFrame, block: int, handling: str = "wage", benefit_sources: tuple[int, ...] = (2,)
+) -> DataFrame:
+    with_totals = _add_parallel_totals_spread(df, block, benefit_sources)
+    return _main_episode_spread(with_totals, block, handling)
+
+
+reduce_parallel = PersonStep(_reduce_parallel, _reduce_parallel_spread)
+
+
 def handle_parallel_episodes(data, handling: str = "wage"):
     """P1-P4 in order."""
     _check_handling(handling)
-    people = add_nspell(main_episode(add_parallel_totals(data), handling=handling))
+    people = add_nspell(reduce_parallel(data, handling=handling))
     return people.map(drop_levels) if isinstance(people, People) else drop_levels(people)
 
 

@@ -62,24 +62,29 @@ def split_episodes(df: DataFrame, observation: Observation | None = None) -> Dat
     )
 
 
+def _with_source(df: DataFrame) -> DataFrame:
+    """``_source`` to group and order by; an unknown source comes last."""
+    return df.withColumn("_source", F.coalesce("quelle_gr", F.lit(2**31 - 1)))
+
+
 def _add_counters(df: DataFrame) -> DataFrame:
     """E5: ``level1`` counts rows per person, start and source, ``level2`` per person and start."""
-    source = ordered(["persnr", "begepi", "quelle_gr"], ["spell", "endepi"])
-    start = ordered(["persnr", "begepi"], ["quelle_gr", "spell", "endepi"])
-    return df.withColumns(
+    source = ordered(["persnr", "begepi", "_source"], ["spell"])
+    start = ordered(["persnr", "begepi"], ["_source", "spell"])
+    return _with_source(df).withColumns(
         {
             "level1": (F.row_number().over(source) - 1).cast("long"),
             "level2": (F.row_number().over(start) - 1).cast("long"),
         }
-    )
+    ).drop("_source")
 
 
 def _add_counters_spread(df: DataFrame, block: int) -> DataFrame:
-    group = ["persnr", "begepi", "quelle_gr"]
+    group = ["persnr", "begepi", "_source"]
 
     def scan(pieces, _):
         same = ordered(group, ["_block"]).rowsBetween(*BEFORE)
-        start = ordered(group[:2], ["quelle_gr", "_block"]).rowsBetween(*BEFORE)
+        start = ordered(group[:2], ["_source", "_block"]).rowsBetween(*BEFORE)
         return pieces.select(
             *group,
             "_block",
@@ -87,16 +92,16 @@ def _add_counters_spread(df: DataFrame, block: int) -> DataFrame:
             F.sum("n").over(start).alias("_before2"),
         )
 
-    inside = ordered(group + ["_block"], ["spell", "endepi"])
+    inside = ordered(group + ["_block"], ["spell"])
     out = carry(
-        with_block(df, block), group, ["_block"], {"n": F.count(F.lit(1))}, scan
+        with_block(_with_source(df), block), group, ["_block"], {"n": F.count(F.lit(1))}, scan
     ).withColumn("_nr", F.row_number().over(inside) - 1)
     return out.withColumns(
         {
             "level1": F.coalesce("_before1", F.lit(0)) + F.col("_nr"),
             "level2": F.coalesce("_before2", F.lit(0)) + F.col("_nr"),
         }
-    ).drop("_block", "_nr", "_before1", "_before2")
+    ).drop("_block", "_source", "_nr", "_before1", "_before2")
 
 
 add_counters = PersonStep(_add_counters, _add_counters_spread)

@@ -33,9 +33,9 @@ def build_biographies(people: People, compat: bool = False) -> People:
     people = people.map(pack, BIOGRAPHY_COLUMNS)
     people = split.add_counters(people)
     people = biography.add_employment(people, compat=compat)
+    people = biography.add_benefits(people)
     people = biography.add_establishment(people, compat=compat)
-    people = biography.add_jobs(people, compat=compat)
-    return biography.add_benefits(people).map(unpack)
+    return biography.add_jobs(people, compat=compat).map(unpack)
 
 
 def enrich_episodes(df: DataFrame, lookups: Lookups) -> DataFrame:
