@@ -1,0 +1,16 @@
+"""Yearly person panels from overlapping employment and benefit episodes, on Spark."""
+
+from careerpanel.functions.people import People, by_person
+from careerpanel.plans.pipeline import prepare_panel
+from careerpanel.sources.ingest import read_episodes, write_panel
+from careerpanel.sources.lookups import default_lookups, read_lookups
+
+__all__ = [
+    "People",
+    "by_person",
+    "default_lookups",
+    "prepare_panel",
+    "read_episodes",
+    "read_lookups",
+    "write_panel",
+]

@@ -29,6 +29,7 @@ from careerpanel.sources.lookups import (
 from careerpanel.sources.staging import fresh_path, stage
 
 BATCH = 1000
+JOB_DAYS = ["tage_erw", "tage_bet", "tage_job"]
 
 
 def shaped(df: DataFrame, columns: str) -> DataFrame:
@@ -95,7 +96,7 @@ def _biographies(spark, sf_dir) -> People:
     return pipeline.build_biographies(episode_people(spark, sf_dir))
 
 
-def _enriched(spark, sf_dir, steps: int | None = None) -> DataFrame:
+def _enriched(spark, sf_dir) -> DataFrame:
     """The split episodes with the enrichment; no biography, which the joins do not need."""
     return pipeline.enrich_episodes(_split(spark, sf_dir).merged(), default_lookups(spark))
 
@@ -182,6 +183,11 @@ def _panel(spark, sf_dir, **options) -> DataFrame:
     return pipeline.prepare_panel(episodes(spark, sf_dir), **options)
 
 
+def _panel_of_single_jobs(spark, sf_dir) -> DataFrame:
+    single = F.col("parallel_jobs") <= 1
+    return _panel(spark, sf_dir).withColumns({c: F.when(single, F.col(c)) for c in JOB_DAYS})
+
+
 def _s5_store(spark, sf_dir) -> DataFrame:
     path = fresh_path(spark, "panel")
     ingest.write_panel(_panel(spark, sf_dir), path)
@@ -544,12 +550,15 @@ QUERIES: dict[str, Query] = {
         MAIN + " i:tage_lst",
         _from("cut"),
     ),
-    # the whole job; columns that do not depend on a draw have an exact oracle
+    # the whole job; columns that do not depend on a draw have an exact oracle. Which of several
+    # parallel jobs is the main one does, so job columns are compared where there is one job.
     "f1_panel": Query(
-        _panel,
-        MAIN + " ein_erw i:tage_erw i:anz_lst i:tage_lst i:parallel_jobs r6:parallel_wage"
-        " i:parallel_benefits i:year_days_emp i:year_days_benefits",
-        _from("cut"),
+        _panel_of_single_jobs,
+        MAIN + " ein_erw i:tage_erw i:tage_bet i:tage_job i:anz_lst i:tage_lst i:parallel_jobs"
+        " r6:parallel_wage i:parallel_benefits i:year_days_emp i:year_days_benefits",
+        _from("cut", "SELECT * REPLACE ("
+              + ", ".join(f"CASE WHEN parallel_jobs <= 1 THEN {c} END AS {c}" for c in JOB_DAYS)
+              + ") FROM cut"),
     ),
     "f1_panel_full": Query(
         _panel,
