@@ -7,7 +7,7 @@ literal behaviour where it differs from the documented rule.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from careerpanel.functions.carry import carry
@@ -90,23 +90,28 @@ def _add_employment(df: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def _add_employment_spread(df: DataFrame, block: int, compat: bool = False) -> DataFrame:
-    df = add_flags(df)
+    df = with_block(add_flags(df), block)
     emp = F.col("emp") == 1
     keys = ["persnr", "emp"] if compat else ["persnr"]
     entry = F.min("begorig") if compat else F.min(F.when(emp, F.col("begorig")))
     first = df.groupBy(*keys).agg(entry.alias("ein_erw"))
-    # one row per person and start day: the running sum sees calendar days, not episodes
-    per_day = df.groupBy("persnr", "begepi").agg(
-        F.min_by(F.when(emp, days()), F.when(emp, F.struct("spell", "endepi"))).alias("d")
-    )
-    totals = per_day.select(
-        "persnr",
-        "begepi",
-        _days_employed(F.sum("d").over(running(["persnr"], ["begepi"])), compat).alias("tage_erw"),
-    )
-    return left_null_safe(
-        left_null_safe(df, totals, ["persnr", "begepi"]), first, keys
-    ).drop("emp")
+
+    def scan(pieces, w):
+        # the first employment row of a day is in one of its slices; the others add nothing
+        day = Window.partitionBy("persnr", "begepi").orderBy(F.asc_nulls_last("first"), "_block")
+        pieces = pieces.withColumn("d", F.when(F.row_number().over(day) == 1, F.col("d")))
+        total = F.sum("d").over(ordered(["persnr"], ["begepi"]).rangeBetween(*SO_FAR))
+        return pieces.select(
+            "persnr", "begepi", "_block", _days_employed(total, compat).alias("tage_erw")
+        )
+
+    parts = {
+        "first": F.min(F.when(emp, F.col("spell"))),
+        "d": F.min_by(F.when(emp, days()), F.when(emp, F.col("spell"))),
+    }
+    out = carry(df, ["persnr"], ["begepi", "_block"], parts, scan)
+    # at most three rows for each of at most MAX_HEAVY persons
+    return left_null_safe(out, F.broadcast(first), keys).drop("emp", "_block")
 
 
 add_employment = PersonStep(_add_employment, _add_employment_spread)
@@ -145,22 +150,28 @@ def _add_establishment_spread(df: DataFrame, block: int, compat: bool = False) -
     firm = ["persnr", "bnn"]
     bounds = firm + ["begepi", "endepi"]
     known = F.col("bnn").isNotNull()
-    entry = df.groupBy(*firm).agg(F.min("begepi").alias("_entry"))
-    leaders = df.groupBy(*bounds).agg(F.min("spell").alias("_leader"))
-    df = left_null_safe(left_null_safe(df, leaders, bounds), entry, firm)
-    df = stage(
-        with_block(df, block)
-        .withColumn("_days", F.when(F.col("spell") == F.col("_leader"), days()).otherwise(0))
-        .drop("_leader")
+
+    def leader(pieces, w):
+        return pieces.select(*bounds, "_block", F.min("s").over(w.rowsBetween(*ALL)).alias("_leader"))
+
+    rows = carry(with_block(df, block), bounds, ["_block"], {"s": F.min("spell")}, leader)
+    rows = stage(
+        rows.withColumn(
+            "_days", F.when(F.col("spell") == F.col("_leader"), days()).otherwise(0)
+        ).drop("_leader")
     )
 
     def scan(pieces, w):
         return pieces.select(
-            *firm, "_block", F.sum("d").over(w.rowsBetween(*BEFORE)).alias("_before")
+            *firm,
+            "_block",
+            F.sum("d").over(w.rowsBetween(*BEFORE)).alias("_before"),
+            F.min("entry").over(w.rowsBetween(*ALL)).alias("_entry"),
         )
 
     inside = running(firm + ["_block"], ["spell", "begepi"])
-    out = carry(df, firm, ["_block"], {"d": F.sum("_days")}, scan)
+    parts = {"d": F.sum("_days"), "entry": F.min("begepi")}
+    out = carry(rows, firm, ["_block"], parts, scan)
     total = F.coalesce("_before", F.lit(0)) + F.sum("_days").over(inside)
     return out.withColumns(
         {
@@ -335,9 +346,13 @@ def _add_jobs_spread(
         }
     )
     if compat:
-        rows = stage(rows)
-        sizes = rows.groupBy(*JOB, "_job").agg(F.count(F.lit(1)).alias("_size"))
-        rows = left_null_safe(rows, sizes, JOB + ["_job"]).withColumns(
+        job = JOB + ["_job"]
+
+        def size(pieces, w):
+            total = F.sum("n").over(w.rowsBetween(*ALL))
+            return pieces.select(*job, *slices, total.alias("_size"))
+
+        rows = carry(stage(rows), job, slices, {"n": F.count(F.lit(1))}, size).withColumns(
             {c: F.when(F.col("_size") > 1, F.col(c)) for c in ("ein_job", "tage_job")}
         )
     return rows.select(*columns).unionByName(others.select(*columns))
@@ -392,12 +407,18 @@ def _add_benefits_spread(
     max_gap: int = 10,
 ) -> DataFrame:
     benefit = F.coalesce(F.col("quelle_gr").isin(list(sources)), F.lit(False))
-    leaders = df.groupBy("persnr", "begepi").agg(
-        F.min(F.when(benefit, F.col("spell"))).alias("_leader")
-    )
-    rows = with_block(left_null_safe(df, leaders, ["persnr", "begepi"]), block).withColumn(
-        "_first", benefit & (F.col("spell") == F.col("_leader"))
-    )
+
+    def leader(pieces, w):
+        first = F.min("s").over(w.rowsBetween(*ALL))
+        return pieces.select("persnr", "begepi", "_block", first.alias("_leader"))
+
+    rows = carry(
+        with_block(df, block),
+        ["persnr", "begepi"],
+        ["_block"],
+        {"s": F.min(F.when(benefit, F.col("spell")))},
+        leader,
+    ).withColumn("_first", benefit & (F.col("spell") == F.col("_leader")))
     inside = ordered(["persnr", "_block"], ["spell", "begepi"])
     known_end = F.when(benefit, F.col("endepi"))
 

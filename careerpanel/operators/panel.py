@@ -7,8 +7,9 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from careerpanel.functions.carry import carry
 from careerpanel.functions.frames import ALL, days, left_null_safe, ordered, three_valued
-from careerpanel.functions.people import People, PersonStep
+from careerpanel.functions.people import People, PersonStep, with_block
 
 START = ["persnr", "begepi"]
 HANDLING = {"wage": ("wage_imp", "tage_bet"), "tenure": ("tage_bet", "wage_imp")}
@@ -38,10 +39,16 @@ def _add_parallel_totals(df: DataFrame, benefit_sources: tuple[int, ...] = (2,))
 def _add_parallel_totals_spread(
     df: DataFrame, block: int, benefit_sources: tuple[int, ...] = (2,)
 ) -> DataFrame:
-    totals = df.groupBy(*START).agg(
-        *[c.alias(name) for name, c in _parallel_totals(benefit_sources).items()]
-    )
-    return left_null_safe(df, totals, START)
+    parts = _parallel_totals(benefit_sources)
+
+    def scan(pieces, w):
+        start = w.rowsBetween(*ALL)
+        combined = {c: F.max(c) if c == "parallel_benefits" else F.sum(c) for c in parts}
+        return pieces.select(
+            *START, "_block", *[c.over(start).alias(name) for name, c in combined.items()]
+        )
+
+    return carry(with_block(df, block), START, ["_block"], parts, scan).drop("_block")
 
 
 add_parallel_totals = PersonStep(_add_parallel_totals, _add_parallel_totals_spread)
@@ -67,15 +74,23 @@ def _main_episode(df: DataFrame, handling: str = "wage") -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
-def _main_episode_spread(df: DataFrame, block: int, handling: str = "wage") -> DataFrame:
+def _best_row(df: DataFrame, handling: str, totals: dict[str, Column]) -> DataFrame:
+    """The main row and ``totals`` per person and start, as one map-side combined aggregation."""
     order = [F.col("quelle_gr").isNull(), F.col("quelle_gr")]
     for c in _check_handling(handling):
         order += [F.col(c).isNull(), -F.col(c)]
     order += [F.col("spell"), F.col("endepi")]
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     others = [c for c in df.columns if c not in START]
-    best = df.groupBy(*START).agg(F.min_by(F.struct(*others), place).alias("best"))
-    return best.select(*START, "best.*").select(*df.columns)
+    best = df.groupBy(*START).agg(
+        F.min_by(F.struct(*others), place).alias("_best"),
+        *[c.alias(name) for name, c in totals.items()],
+    )
+    return best.select(*START, "_best.*", *totals).select(*df.columns, *totals)
+
+
+def _main_episode_spread(df: DataFrame, block: int, handling: str = "wage") -> DataFrame:
+    return _best_row(df, handling, {})
 
 
 main_episode = PersonStep(_main_episode, _main_episode_spread)
@@ -117,8 +132,7 @@ def _reduce_parallel(
 def _reduce_parallel_spread(
     df: DataFrame, block: int, handling: str = "wage", benefit_sources: tuple[int, ...] = (2,)
 ) -> DataFrame:
-    with_totals = _add_parallel_totals_spread(df, block, benefit_sources)
-    return _main_episode_spread(with_totals, block, handling)
+    return _best_row(df, handling, _parallel_totals(benefit_sources))
 
 
 reduce_parallel = PersonStep(_reduce_parallel, _reduce_parallel_spread)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from careerpanel.functions.frames import BEFORE, SO_FAR
+from careerpanel.functions.people import ROW_LIMIT, heavy_persons
 from careerpanel.schema import EPISODES, check_key, conform
 from careerpanel.sources.staging import shared_folder
 
@@ -62,9 +63,22 @@ def batch_plan(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     )
 
 
-def assign_batches(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
-    """The table with its batch number ``pn_batch``."""
-    return df.drop("pn_batch").join(person_batches(df, size).select("persnr", "pn_batch"), "persnr")
+def assign_batches(
+    df: DataFrame, size: int = BATCH_SIZE, row_limit: int = ROW_LIMIT
+) -> DataFrame:
+    """The table with its batch number ``pn_batch``.
+
+    The rows of heavy persons stay where they are: those persons' batches are few and broadcast.
+    """
+    df = df.drop("pn_batch")
+    batches = person_batches(df, size).select("persnr", "pn_batch")
+    heavy = heavy_persons(df, row_limit)
+    if not heavy:
+        return df.join(batches, "persnr")
+    few = F.col("persnr").isin(heavy)
+    # at most MAX_HEAVY rows
+    beside = df.where(few).join(F.broadcast(batches.where(few)), "persnr")
+    return df.where(~few).join(batches, "persnr").unionByName(beside)
 
 
 def append_batches(df: DataFrame, path: str, mode: str = "append") -> None:

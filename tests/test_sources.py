@@ -36,6 +36,12 @@ def test_batches_never_split_a_person(spark, sf_dir):
     assert all(r["max_row"] // 200 + 1 == r["pn_batch"] for r in plan)
 
 
+def test_batches_of_heavy_persons(spark, sf_dir):
+    df = episodes(spark, sf_dir)
+    heavy = ingest.assign_batches(df, 200, row_limit=12)
+    assert rows_of(heavy) == rows_of(ingest.assign_batches(df, 200))
+
+
 def test_append_adds(spark, sf_dir, tmp_path):
     path = str(tmp_path / "store")
     df = ingest.assign_batches(episodes(spark, sf_dir), 500)
@@ -83,6 +89,7 @@ def test_biographies_take_one_exchange(spark, stored):
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SinglePartition" not in plan
     assert plan.count("BroadcastHashJoin") == 5
+    assert plan.count("Sort [") == 6
     assert "SortMergeJoin" not in plan and "Python" not in plan
 
 
@@ -92,7 +99,10 @@ def test_panel_takes_one_exchange(spark, stored):
     )
     plan = _plan(pipeline.finish_panel(rows))
     assert plan.count("Exchange hashpartitioning") == 1
-    assert "WindowGroupLimit" in plan and "SinglePartition" not in plan
+    assert "SinglePartition" not in plan
+    # totals, main episode, counter and yearly totals share one sort
+    assert plan.count("Sort [") == 1
+    assert "WindowGroupLimit" in _plan(panel.main_episode(rows))
 
 
 def test_scans_read_only_what_they_need(spark, stored):
