@@ -196,10 +196,17 @@ class _Cell:
         ll, grad, hess = ll + row["ll"], grad + g, hess - h
         self.steps += 1
         if not np.isfinite(ll) or ll < self.ll - 1e-11 * abs(self.ll):
+            if self.at is None:
+                self.status = "no finite likelihood"
+                return
             self._shorten()
         else:
             self.at, self.ll = self.trial, ll
-            self.step = np.linalg.solve(-hess, grad)
+            try:
+                self.step = np.linalg.solve(-hess, grad)
+            except np.linalg.LinAlgError:
+                self.status = "singular"
+                return
             self.slope = float(grad @ self.step)
             self.trial = self.at + self.step
             if self.slope <= TOLERANCE and self.trial[-1] > 0:
