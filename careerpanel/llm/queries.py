@@ -99,7 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _PLAIN = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
-_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), w -> w <> '')"
+_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 _GRAMS = "list_distinct([array_to_string(w[i : i + {n} - 1], ' ') for i in range(1, len(w) - {n} + 2)])"
 
 ORACLE_SQL: dict[str, str] = {
