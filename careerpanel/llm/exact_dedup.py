@@ -97,7 +97,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = identities(docs, text, {"id": F.col(id_col)})
     rows = stage(rows.select("rid", "id", "text_sha256", "size", "name"), "identities")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid"))
-    groups = rows.groupBy("size", "name").agg(first.alias("first"), F.count("*").alias("group_size"))
+    groups = stage(rows.groupBy("size", "name").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
     return rows.join(groups, ["size", "name"]).select(
         F.col("id").alias(id_col),
         F.col("first.id").alias("keep_id"),
