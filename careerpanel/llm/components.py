@@ -12,7 +12,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (u, v): ``label`` is the least node that can be reached.
 
     In turns each node's larger neighbours, and then its smaller ones, are linked to the least. Minima
-    are aggregates and neighbours are found by joins, so a node with any number of links stays spread
+    are aggregates, written before they are joined with the links (Spark can then split a hot node), so a node with any number of links stays spread
     out. Every round is written; rounds go on until the links no longer change.
     """
     before = None
@@ -20,10 +20,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         both = stage(both, "links")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.where("u <> v").distinct(), "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
         onward = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = stage(onward.unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "small")

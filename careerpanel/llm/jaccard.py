@@ -287,6 +287,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     first = stage(classes.join(seen.select("rid", "key", "parts"), "rid").select("c", "digest", "key", "parts"), "first")
     entries = first.select("c", F.explode("parts").alias("part"))
     star = entries.groupBy("part").agg(F.min("c").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
+    star = stage(star, "stars")
     edges = entries.join(star, "part").where("c <> u").select("u", F.col("c").alias("v")).distinct()
     clusters = components(edges)
     members = clusters.select(F.col("label").alias("k"), F.col("node").alias("c")).join(first.select("c", "digest", "key"), "c")
