@@ -7,8 +7,8 @@ one column) and kept in a second frame. On that frame each rule runs over *slice
 (``spell`` blocks, or a start day and a ``spell`` block); what a slice needs to know of the
 slices before it is aggregated, scanned per person over one row per slice, and joined back.
 
-Bounds: at most ``MAX_HEAVY`` persons are heavy, so an ordinary person has at most
-``max(row_limit, rows / MAX_HEAVY)`` rows. A slice has at most ``block`` different values of
+Bounds: an ordinary person has at most ``row_limit`` rows. There are at most rows / ``row_limit`` heavy
+persons; they are a written table that is joined, never a list in a plan. A slice has at most ``block`` different values of
 ``spell``, and (``persnr``, ``spell``, ``begepi``) is a key.
 """
 
@@ -24,20 +24,18 @@ from careerpanel.sources.staging import stage
 
 ROW_LIMIT = 1_000_000
 BLOCK = 250_000
-MAX_HEAVY = 2_000
 
 
-def heavy_persons(df: DataFrame, row_limit: int = ROW_LIMIT, key: str = "persnr") -> list[int]:
-    """The persons with more than ``row_limit`` rows, largest first, never more than ``MAX_HEAVY``."""
-    top = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > row_limit)
-        .orderBy(F.desc("n"), key)
-        .limit(MAX_HEAVY)
-    )
-    return [r[key] for r in top.collect()]
+def heavy_persons(df: DataFrame, row_limit: int = ROW_LIMIT, key: str = "persnr") -> DataFrame | None:
+    """The persons with more than ``row_limit`` rows as a written table of one column; None without any."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    heavy = stage(counts.where(F.col("n") > row_limit).select(key), "heavy")
+    return None if heavy.isEmpty() else heavy
+
+
+def split_heavy(df: DataFrame, heavy: DataFrame, key: str = "persnr") -> tuple[DataFrame, DataFrame]:
+    """The rows of all other persons (and those without one), and the rows of heavy persons."""
+    return tuple(df.join(heavy, key, how).select(*df.columns) for how in ("left_anti", "left_semi"))
 
 
 @dataclass(frozen=True)
@@ -47,7 +45,7 @@ class People:
     ordinary: DataFrame
     heavy: DataFrame | None = None
     block: int = BLOCK
-    heavy_ids: tuple[int, ...] = ()
+    heavy_ids: DataFrame | tuple[()] = ()
 
     def map(self, fn: Callable[..., DataFrame], *args, **options) -> "People":
         """Apply a row-wise step to both parts."""
@@ -62,16 +60,16 @@ def by_person(
     df: DataFrame,
     row_limit: int = ROW_LIMIT,
     block: int = BLOCK,
-    heavy_ids: list[int] | tuple[int, ...] | None = None,
+    heavy_ids: DataFrame | tuple[()] | None = None,
     key: str = "persnr",
 ) -> People:
     """Split off heavy persons and place the others by person: the one wide exchange of a job."""
     if heavy_ids is None:
         heavy_ids = heavy_persons(df, row_limit, key)
-    if not heavy_ids:
+    if heavy_ids is None or isinstance(heavy_ids, tuple):
         return People(df.repartition(key), None, block)
-    is_heavy = F.coalesce(F.col(key).isin(list(heavy_ids)), F.lit(False))
-    return People(df.where(~is_heavy).repartition(key), df.where(is_heavy), block, tuple(heavy_ids))
+    ordinary, heavy = split_heavy(df, heavy_ids, key)
+    return People(ordinary.repartition(key), heavy, block, heavy_ids)
 
 
 class PersonStep:

@@ -110,8 +110,7 @@ def _add_employment_spread(df: DataFrame, block: int, compat: bool = False) -> D
         "d": F.min_by(F.when(emp, days()), F.when(emp, F.col("spell"))),
     }
     out = carry(df, ["persnr"], ["begepi", "_block"], parts, scan)
-    # at most three rows for each of at most MAX_HEAVY persons
-    return left_null_safe(out, F.broadcast(first), keys).drop("emp", "_block")
+    return left_null_safe(out, first, keys).drop("emp", "_block")
 
 
 add_employment = PersonStep(_add_employment, _add_employment_spread)

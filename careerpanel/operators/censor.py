@@ -49,8 +49,9 @@ def censoring_report(df: DataFrame) -> DataFrame:
 
 
 def censoring_by_education(df: DataFrame) -> DataFrame:
-    """Counts by ``cens`` side by side and the censored share per education."""
+    """Counts by ``cens`` side by side and the censored share per education; no row of a kind counts 0."""
     label = F.create_map(*[F.lit(x) for kv in ((1, "Low"), (2, "Medium"), (3, "High")) for x in kv])
+    free, censored = (F.coalesce(F.col(c), F.lit(0)) for c in ("0", "1"))
     return (
         _flagged(df)
         .groupBy("educ")
@@ -58,9 +59,9 @@ def censoring_by_education(df: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)))
         .select(
             F.coalesce(label[F.col("educ")], F.lit("Missing")).alias("education"),
-            F.col("0").alias("cens0"),
-            F.col("1").alias("cens1"),
-            (F.col("1") / (F.col("0") + F.col("1"))).alias("share_censored"),
+            free.alias("cens0"),
+            censored.alias("cens1"),
+            (censored / (free + censored)).alias("share_censored"),
         )
     )
 

@@ -54,14 +54,14 @@ def _add_parallel_totals_spread(
 add_parallel_totals = PersonStep(_add_parallel_totals, _add_parallel_totals_spread)
 
 
-def _check_handling(handling: str) -> tuple[str, str]:
+def check_handling(handling: str) -> tuple[str, str]:
     if handling not in HANDLING:
         raise ValueError("handling must be 'wage' or 'tenure'")
     return HANDLING[handling]
 
 
 def _main_order(handling: str) -> list[Column]:
-    best = [F.desc_nulls_last(c) for c in _check_handling(handling)]
+    best = [F.desc_nulls_last(c) for c in check_handling(handling)]
     return [F.asc_nulls_last("quelle_gr"), *best, F.col("spell"), F.col("endepi")]
 
 
@@ -77,7 +77,7 @@ def _main_episode(df: DataFrame, handling: str = "wage") -> DataFrame:
 def _best_row(df: DataFrame, handling: str, totals: dict[str, Column]) -> DataFrame:
     """The main row and ``totals`` per person and start, as one map-side combined aggregation."""
     order = [F.col("quelle_gr").isNull(), F.col("quelle_gr")]
-    for c in _check_handling(handling):
+    for c in check_handling(handling):
         order += [F.col(c).isNull(), -F.col(c)]
     order += [F.col("spell"), F.col("endepi")]
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
@@ -140,7 +140,7 @@ reduce_parallel = PersonStep(_reduce_parallel, _reduce_parallel_spread)
 
 def handle_parallel_episodes(data, handling: str = "wage"):
     """P1-P4 in order."""
-    _check_handling(handling)
+    check_handling(handling)
     people = add_nspell(reduce_parallel(data, handling=handling))
     return people.map(drop_levels) if isinstance(people, People) else drop_levels(people)
 

@@ -10,6 +10,8 @@ points; what reaches the driver is one gradient and one Hessian per cell.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from careerpanel.functions import normal
+from careerpanel.functions.frames import left_null_safe
 from careerpanel.operators.censor import CELL
 
 REGRESSORS = ["frau", "age", "age_sq", "age_old", "age_sq_old", "tage_job", "tenure_sq"]
@@ -106,9 +109,11 @@ def _censored_step(cells: list[str], x: list[str]):
     ]
 
     def step(points: DataFrame, params: DataFrame) -> DataFrame:
-        # the parameters are one row per cell, at most MAX_CELLS
+        # the parameters are one row per cell, at most MAX_CELLS; a null key is a cell of its own
+        known = params.withColumnsRenamed({c: f"_of_{c}" for c in cells})
+        same = [points[c].eqNullSafe(known[f"_of_{c}"]) for c in cells]
         return (
-            points.join(F.broadcast(params), cells)
+            points.join(F.broadcast(known), reduce(and_, same))
             .withColumn("z", distance)
             .withColumn("lam", ratio)
             .select(*cells, *x, "c", *terms)
@@ -270,8 +275,12 @@ def fit_censored(
             params = spark.createDataFrame(
                 [(*s.key, *s.unscaled(s.trial)) for s in active], param_schema
             )
-            for row in step(censored, params).collect():
-                states[tuple(row[c] for c in cells)].update(row)
+            met = {tuple(row[c] for c in cells): row for row in step(censored, params).collect()}
+            for s in active:
+                if s.key in met:
+                    s.update(met[s.key])
+                else:
+                    s.status = "no rows"
     finally:
         points.unpersist()
     out = []
@@ -324,7 +333,7 @@ def draw_censored(
     tail = uniform(seed) * normal.bound(beyond, normal.lower_tail)
     draw = F.col("_xb") - sigma * normal.bound(tail, normal.quantile)
     return (
-        df.join(known, cells, "left")
+        left_null_safe(df, known, cells)
         .withColumn("_xb", F.when(sample & (F.col("cens") == 1), xb))
         .withColumn(
             "ln_wage_imp",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from careerpanel.functions.carry import carry
 from careerpanel.functions.frames import BEFORE
-from careerpanel.functions.people import BLOCK, ROW_LIMIT, People, heavy_persons
+from careerpanel.functions.people import BLOCK, ROW_LIMIT, People, heavy_persons, split_heavy
 from careerpanel.schema import EPISODES
 
 
@@ -96,14 +96,14 @@ def episode_people(
     """The episodes, ordinary persons already placed by ``persnr``."""
     orders = _orders(spark, sf_dir)
     heavy_ids = heavy_persons(orders, row_limit)
-    if not heavy_ids:
+    if heavy_ids is None:
         return People(_episode_columns(_numbered(orders)), None, block)
-    heavy = F.coalesce(F.col("persnr").isin(heavy_ids), F.lit(False))
+    others, heavy = split_heavy(orders, heavy_ids)
     return People(
-        _episode_columns(_numbered(orders.where(~heavy))),
-        _episode_columns(_numbered_spread(orders.where(heavy), block)),
+        _episode_columns(_numbered(others)),
+        _episode_columns(_numbered_spread(heavy, block)),
         block,
-        tuple(heavy_ids),
+        heavy_ids,
     )
 
 

@@ -80,6 +80,11 @@ def _from(last: str, body: str | None = None, **options) -> str:
 # --- relations on the Spark side ------------------------------------------------------------
 
 
+def _count_columns(df: DataFrame, gone: list[str]) -> DataFrame:
+    """With ``left_over``: how many of the columns that should be gone are still there."""
+    return df.withColumn("left_over", F.lit(len(set(gone) & set(df.columns))))
+
+
 def _placed(spark, sf_dir) -> People:
     return episode_people(spark, sf_dir).map(split.add_year_age)
 
@@ -499,9 +504,9 @@ QUERIES: dict[str, Query] = {
   FROM (SELECT cen.*, 0.9 * quantile_cont(ln_wage, 0.9) OVER () AS bound FROM cen)"""),
     ),
     "c15_cleanup": Query(
-        lambda s, d: censor.drop_helpers(_with_jobs(s, d)),
-        ROW + " i:cens r6:wage r6:ln_wage",
-        _from("cen"),
+        lambda s, d: _count_columns(censor.drop_helpers(_with_jobs(s, d)), [*censor.HELPERS, "educ_tmp"]),
+        ROW + " i:cens r6:wage r6:ln_wage i:left_over",
+        _from("cen", "SELECT *, 0 AS left_over FROM cen"),
     ),
     # panel
     "p1_parallel": Query(
@@ -523,9 +528,9 @@ QUERIES: dict[str, Query] = {
         lambda s, d: _main()(s, d).merged(), "i:persnr i:spell begepi i:nspell", _from("main")
     ),
     "p4_handled": Query(
-        lambda s, d: _handled(s, d).merged(),
-        MAIN + " i:parallel_jobs i:parallel_benefits",
-        _from("main"),
+        lambda s, d: _count_columns(_handled(s, d).merged(), ["spell", "level1", "level2"]),
+        MAIN + " i:parallel_jobs i:parallel_benefits i:left_over",
+        _from("main", "SELECT *, 0 AS left_over FROM main"),
     ),
     "p5_durations": Query(
         lambda s, d: panel.add_durations(_handled(s, d).merged()),

@@ -7,6 +7,8 @@ there and read only their columns), and one exchange by person for the panel rul
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 from careerpanel.functions.frames import pack, unpack
@@ -71,7 +73,7 @@ def finish_panel(
     day: int = 30,
     row_limit: int = ROW_LIMIT,
     block: int = BLOCK,
-    heavy_ids: tuple[int, ...] | None = None,
+    heavy_ids: DataFrame | tuple[()] | None = None,
 ) -> DataFrame:
     """P1-P9 on rows with imputed wages."""
     wanted = [c for c in df.columns if c in PANEL or c == "spell"]
@@ -90,7 +92,9 @@ def prepare_panel(
     row_limit: int = ROW_LIMIT,
     block: int = BLOCK,
 ) -> DataFrame:
-    """the yearly panel of an episode table."""
+    """the yearly panel of an episode table. Wrong ``handling`` or ``cutoff`` fail before any work."""
+    panel.check_handling(handling)
+    date(2000, *cutoff)
     lookups = lookups or default_lookups(df.sparkSession)
     people = build_biographies(by_person(conform(df), row_limit, block), compat)
     prepared = stage(

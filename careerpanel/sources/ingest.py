@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from careerpanel.functions.frames import BEFORE, SO_FAR
-from careerpanel.functions.people import ROW_LIMIT, heavy_persons
+from careerpanel.functions.people import ROW_LIMIT, heavy_persons, split_heavy
 from careerpanel.schema import EPISODES, check_key, conform
 from careerpanel.sources.staging import shared_folder
 
@@ -68,17 +68,17 @@ def assign_batches(
 ) -> DataFrame:
     """The table with its batch number ``pn_batch``.
 
-    The rows of heavy persons stay where they are: those persons' batches are few and broadcast.
+    Heavy persons' rows meet their batches in a join of their own, a small table that Spark sends to the
+    rows if its size allows.
     """
     df = df.drop("pn_batch")
     batches = person_batches(df, size).select("persnr", "pn_batch")
     heavy = heavy_persons(df, row_limit)
-    if not heavy:
+    if heavy is None:
         return df.join(batches, "persnr")
-    few = F.col("persnr").isin(heavy)
-    # at most MAX_HEAVY rows
-    beside = df.where(few).join(F.broadcast(batches.where(few)), "persnr")
-    return df.where(~few).join(batches, "persnr").unionByName(beside)
+    others, beside = split_heavy(df, heavy)
+    known = batches.join(heavy, "persnr", "left_semi")
+    return others.join(batches, "persnr").unionByName(beside.join(known, "persnr"))
 
 
 def append_batches(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -79,8 +79,15 @@ def test_heavy_adapter_equals_ordinary(spark, sf_dir):
 
 
 def test_heavy_persons_are_found(crowded):
-    assert heavy_persons(crowded, 200) == [1_000_000]
-    assert heavy_persons(crowded, 10**9) == []
+    assert [r.persnr for r in heavy_persons(crowded, 200).collect()] == [1_000_000]
+    assert heavy_persons(crowded, 10**9) is None
+
+
+def test_any_number_of_persons_may_be_heavy(crowded):
+    people = by_person(crowded, row_limit=0)
+    assert people.ordinary.count() == 0
+    assert people.heavy.count() == crowded.where("persnr is not null").count()
+    assert "LeftSemi" in people.heavy._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_whole_job_with_heavy_persons(spark, sf_dir):

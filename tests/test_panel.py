@@ -87,3 +87,11 @@ def test_year_totals_and_cut(spark):
     assert values(cut, "tage_bet", "tage_job", "tage_erw", "tage_lst") == [
         (90, 90, 90, None), (None, None, None, 90)
     ]
+
+
+def test_wrong_arguments_fail_first():
+    from careerpanel.plans.pipeline import prepare_panel
+
+    for wrong in ({"handling": "no such rule"}, {"cutoff": (2, 30)}):
+        with pytest.raises(ValueError):
+            prepare_panel(None, **wrong)

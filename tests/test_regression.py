@@ -187,3 +187,15 @@ def test_normal_functions(spark):
         assert r["lp"] == pytest.approx(math.log(p), rel=1e-12)
         assert r["m"] == pytest.approx(density / p, rel=1e-12)
         assert r["q"] == pytest.approx(r["z"], abs=1e-9)
+
+
+def test_null_cell_keys_are_a_cell(spark):
+    draw = np.random.default_rng(7)
+    rows = []
+    for cell in ("a", None):
+        for x in draw.normal(size=200):
+            y = 1 + 0.5 * x + draw.normal()
+            rows.append((cell, float(x), float(min(y, 1.5)), int(y >= 1.5), 1.5))
+    df = spark.createDataFrame(rows, "cell string, x double, ln_wage double, cens int, ln_limit_assess4 double")
+    fits = tobit.fit_censored(df, cells=["cell"], x=["x"]).collect()
+    assert {(r.cell, r.status) for r in fits} == {("a", "ok"), (None, "ok")}
