@@ -27,6 +27,7 @@ KEY = ["persnr", "spell", "begepi"]
 MAX_CELLS = 100_000
 MAX_STEPS = 60
 TOLERANCE = 1e-6
+FAR = 30
 
 
 def in_sample(x: list[str] = REGRESSORS, y: str = "ln_wage", cens: str = "cens") -> Column:
@@ -304,6 +305,15 @@ def fit_censored(
     return spark.createDataFrame(out, schema)
 
 
+def check_fits(fits: DataFrame) -> DataFrame:
+    """Raises if the regression of a cell ended without a maximum, else hands the frame on. Cells that
+    have too few rows for a fit are no error."""
+    failed = F.col("status").isin("not converged", "no finite likelihood", "singular", "no rows")
+    if bad := fits.where(failed).drop("beta").limit(5).collect():
+        raise ValueError(f"cells without a maximum, for example {bad}")
+    return fits
+
+
 def uniform(seed: int, key: list[str] = KEY) -> Column:
     """A number in (0, 1) that depends only on the row key and the seed, not on partitions."""
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed)))
@@ -321,7 +331,9 @@ def draw_censored(
     """``ln_wage_imp``, a draw above the limit for censored rows, ``ln_wage`` for others.
 
     The draw is taken in the upper tail of the fitted distribution beyond ``ln_limit_assess4``.
-    Rows outside the sample and censored rows of a cell without a fit stay null.
+    Rows outside the sample and censored rows of a cell without a fit stay null. Where the limit is
+    more than FAR standard deviations above the mean, the tail is taken as exp(-z * z / 2), which is
+    exact there to one part in FAR squared and, unlike the distribution function, does not underflow.
     """
     # one row per cell, at most MAX_CELLS
     known = F.broadcast(fits.select(*cells, "beta", "sigma"))
@@ -331,7 +343,9 @@ def draw_censored(
     sigma, sample = F.col("sigma"), in_sample(x)
     beyond = (F.col("_xb") - F.col("ln_limit_assess4")) / sigma
     tail = uniform(seed) * normal.bound(beyond, normal.lower_tail)
-    draw = F.col("_xb") - sigma * normal.bound(tail, normal.quantile)
+    far = -F.sqrt(beyond * beyond - 2 * F.log(uniform(seed)))
+    z = F.when(beyond < -FAR, far).otherwise(normal.bound(tail, normal.quantile))
+    draw = F.col("_xb") - sigma * z
     return (
         left_null_safe(df, known, cells)
         .withColumn("_xb", F.when(sample & (F.col("cens") == 1), xb))

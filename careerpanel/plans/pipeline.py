@@ -59,9 +59,12 @@ def prepare_wages(df: DataFrame) -> DataFrame:
 def impute_wages(
     df: DataFrame, seed: int = 0, compat: bool = False, fits: DataFrame | None = None
 ) -> DataFrame:
-    """C10-C15 on prepared rows, which are read several times: stage them first."""
+    """C10-C15 on prepared rows, which are read several times: stage them first.
+
+    A regression that ends without a maximum raises; ``fits`` that are passed in are taken as they are.
+    """
     if fits is None:
-        fits = tobit.fit_censored(df.where(tobit.in_sample()))
+        fits = tobit.check_fits(tobit.fit_censored(df.where(tobit.in_sample())))
     drawn = tobit.draw_censored(df, fits, seed)
     return censor.drop_helpers(censor.cap_wage(drawn, compat=compat))
 
@@ -91,8 +94,12 @@ def prepare_panel(
     compat: bool = False,
     row_limit: int = ROW_LIMIT,
     block: int = BLOCK,
+    fits: DataFrame | None = None,
 ) -> DataFrame:
-    """the yearly panel of an episode table. Wrong ``handling`` or ``cutoff`` fail before any work."""
+    """the yearly panel of an episode table. Wrong ``handling`` or ``cutoff`` fail before any work.
+
+    ``fits`` are those of ``tobit.fit_censored``, if they are known; else the job fits and checks them.
+    """
     panel.check_handling(handling)
     date(2000, *cutoff)
     lookups = lookups or default_lookups(df.sparkSession)
@@ -100,7 +107,7 @@ def prepare_panel(
     prepared = stage(
         people.map(enrich_episodes, lookups).map(prepare_wages).merged(), "prepared"
     )
-    imputed = impute_wages(prepared, seed, compat)
+    imputed = impute_wages(prepared, seed, compat, fits)
     return finish_panel(
         imputed, handling, *cutoff, row_limit=row_limit, block=block, heavy_ids=people.heavy_ids
     ).select(*PANEL)

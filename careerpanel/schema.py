@@ -47,12 +47,15 @@ PANEL = [
 def conform(df: DataFrame) -> DataFrame:
     """The declared columns with the declared types; raises if one is missing.
 
-    A column of another type is cast; further columns, such as ``pn_batch``, are kept.
+    A column of another type is cast; further columns, such as ``pn_batch``, are kept. A number that
+    is none (NaN) becomes null, so that no order puts it first.
     """
     missing = [f.name for f in EPISODES if f.name not in df.columns]
     if missing:
         raise ValueError(f"episode table lacks {', '.join(missing)}")
-    known = [F.col(f.name).cast(f.dataType).alias(f.name) for f in EPISODES]
+    cast = {f.name: F.col(f.name).cast(f.dataType) for f in EPISODES}
+    cast |= {f.name: F.when(~F.isnan(cast[f.name]), cast[f.name]) for f in EPISODES if f.dataType.typeName() == "double"}
+    known = [c.alias(name) for name, c in cast.items()]
     return df.select(*known, *[c for c in df.columns if c not in EPISODES.fieldNames()])
 
 

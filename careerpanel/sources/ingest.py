@@ -28,9 +28,11 @@ def person_batches(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
     A batch has about ``size`` rows and never splits a person. The running sum takes two steps:
     persons are ranged over partitions, the few partition totals are summed up, and each
     partition adds its own running sum. Ranges are sampled, so they are fixed by a checkpoint.
+    A row without a person belongs to no batch: it raises.
     """
     shared_folder(df.sparkSession)
-    counts = df.groupBy("persnr").agg(F.count(F.lit(1)).alias("n"))
+    person = F.coalesce("persnr", F.raise_error(F.lit("a row has no persnr")).cast("long"))
+    counts = df.groupBy("persnr").agg(F.count(F.lit(1)).alias("n")).withColumn("persnr", person)
     ranged = (
         counts.repartitionByRange("persnr")
         .withColumn("part", F.spark_partition_id())
@@ -84,9 +86,10 @@ def assign_batches(
 def append_batches(df: DataFrame, path: str, mode: str = "append") -> None:
     """S3: append rows to the store, one folder per batch.
 
-    A batch is a folder, so rows of one batch from many tasks need no gathering.
+    Rows are gathered by batch first, so a batch is a file or a few: Spark gives small batches a task
+    together and cuts a large one, such as that of a heavy person, at the advisory partition size.
     """
-    df.write.partitionBy("pn_batch").mode(mode).parquet(path)
+    df.hint("rebalance", F.col("pn_batch")).write.partitionBy("pn_batch").mode(mode).parquet(path)
 
 
 def write_panel(df: DataFrame, path: str, mode: str = "error") -> None:

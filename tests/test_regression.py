@@ -157,6 +157,24 @@ def test_draws_follow_the_fitted_tail(spark):
     assert abs(place.mean() - 0.5) < 4 / math.sqrt(12 * len(out))
 
 
+@pytest.mark.parametrize("shift", [0, 25, 35, 45, 200])
+def test_draws_far_beyond_the_mean(spark, shift):
+    """The limit lies ``shift`` standard deviations further up; no draw is lost or below it."""
+    df = _prepared(spark)
+    fits = tobit.fit_censored(df.where(tobit.in_sample()))
+    lower = F.transform("beta", lambda b, i: F.when(i == 0, b - shift * F.col("sigma")).otherwise(b))
+    drawn = tobit.draw_censored(df, fits.withColumn("beta", lower)).where(tobit.in_sample() & (F.col("cens") == 1))
+    low, none = drawn.agg(F.count_if(F.col("ln_wage_imp") < 4.3), F.count_if(F.col("ln_wage_imp").isNull())).first()
+    assert (low, none) == (0, 0)
+
+
+def test_cells_without_a_maximum_raise(spark):
+    fits = spark.createDataFrame([(1, "ok", [0.0]), (2, "too few uncensored rows", None)], "c int, status string, beta array<double>")
+    assert tobit.check_fits(fits) is fits
+    with pytest.raises(ValueError, match="without a maximum"):
+        tobit.check_fits(fits.withColumn("status", F.lit("not converged")))
+
+
 def test_a_draw_below_the_limit_raises(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "ln_wage_imp double, ln_wage double")
     with pytest.raises(ValueError, match="1 imputed"):

@@ -50,6 +50,25 @@ def test_append_adds(spark, sf_dir, tmp_path):
     assert spark.read.parquet(path).count() == 1500
 
 
+def test_a_batch_is_one_file(spark, sf_dir, tmp_path):
+    path = tmp_path / "few"
+    df = ingest.assign_batches(episodes(spark, sf_dir), 100).repartition(20)
+    ingest.append_batches(df, str(path))
+    files = [len(list(batch.glob("*.parquet"))) for batch in path.glob("pn_batch=*")]
+    assert len(files) > 3 and max(files) == 1
+
+
+def test_rows_without_a_person_raise(spark, sf_dir):
+    df = episodes(spark, sf_dir).withColumn("persnr", F.when(F.col("spell") > 1, F.col("persnr")))
+    with pytest.raises(Exception, match="no persnr"):
+        ingest.assign_batches(df, 100).count()
+
+
+def test_nan_is_null(spark, sf_dir):
+    df = conform(episodes(spark, sf_dir).withColumn("tentgelt_gr", F.lit(float("nan"))))
+    assert df.where("tentgelt_gr is not null").count() == 0
+
+
 def test_csv_source(spark, sf_dir, tmp_path):
     path = str(tmp_path / "csv")
     episodes(spark, sf_dir).write.csv(path, header=True)
