@@ -4,16 +4,16 @@ The model is fitted in Olsen's (1978) parameters delta = beta / sigma and theta
 which the log-likelihood is concave. Rows that share a cell and all regressors are collapsed first:
 uncensored ones to a count and two sums, censored ones to a count per limit. Uncensored points then
 enter only through moments, taken once. Each Newton step is one aggregation over the censored
-points; what reaches the driver is one gradient and one Hessian per cell.
+points. The cells' moments and points are a table, and each cell is solved where its row is.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 from functools import reduce
-from operator import and_
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 from careerpanel.functions import normal
 from careerpanel.functions.frames import left_null_safe
 from careerpanel.operators.censor import CELL
+from careerpanel.sources.staging import stage
 
 REGRESSORS = ["frau", "age", "age_sq", "age_old", "age_sq_old", "tage_job", "tenure_sq"]
 KEY = ["persnr", "spell", "begepi"]
-MAX_CELLS = 100_000
 MAX_STEPS = 60
 TOLERANCE = 1e-6
 FAR = 30
@@ -85,65 +85,82 @@ def design_moments(
     )
 
 
-def _censored_step(cells: list[str], x: list[str]):
-    """A function of points and parameters: log-likelihood, gradient and Hessian of each cell.
+def _cell_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch and cell: log-likelihood, gradient and Hessian terms of censored points, summed."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell, ll, nl, nw = (batch.column(i).to_numpy() for i in range(4))
+        aug = batch.column(4).flatten().to_numpy().reshape(len(cell), -1)
+        i, j = np.triu_indices(aug.shape[1])
+        terms = np.column_stack([ll, nl[:, None] * aug, nw[:, None] * aug[:, i] * aug[:, j]])
+        order = np.argsort(cell, kind="stable")
+        known, first = np.unique(cell[order], return_index=True)
+        sums = np.add.reduceat(terms[order], first)
+        yield pa.RecordBatch.from_arrays([pa.array(known), pa.array(list(sums))], ["_cell", "sums"])
 
-    The column expressions are built once and serve all steps.
+
+def censored_sums(points: DataFrame, params: DataFrame, x: list[str]) -> DataFrame:
+    """(``_cell``, ``sums``): log-likelihood, gradient and Hessian of the censored points at the parameters.
+
+    Both frames carry ``_cell``. The normal functions are columns; the products, too many for one compiled
+    method, are summed per batch with numpy, so that few rows are left to add up.
     """
     xs = _regressor_columns(x)
     index = F.lit(0.0)
     for i, c in enumerate(xs):
         index = index + F.col("delta")[i] * c
     z, lam, n = F.col("z"), F.col("lam"), F.col("n")
-    distance, ratio = index - F.col("theta") * F.col("c"), normal.mills(z)
-    terms = [
-        (n * normal.log_lower_tail(z)).alias("ll"),
-        (n * lam).alias("nl"),
-        (n * lam * (lam + z)).alias("nw"),
-    ]
-    aug = [*xs, -F.col("c")]
-    k = len(aug)
-    sums = [
-        F.sum("ll").alias("ll"),
-        *[F.sum(F.col("nl") * aug[i]).alias(f"g_{i}") for i in range(k)],
-        *[F.sum(F.col("nw") * aug[i] * aug[j]).alias(f"h_{i}_{j}") for i, j in _pairs(k)],
-    ]
-
-    def step(points: DataFrame, params: DataFrame) -> DataFrame:
-        # the parameters are one row per cell, at most MAX_CELLS; a null key is a cell of its own
-        known = params.withColumnsRenamed({c: f"_of_{c}" for c in cells})
-        same = [points[c].eqNullSafe(known[f"_of_{c}"]) for c in cells]
-        return (
-            points.join(F.broadcast(known), reduce(and_, same))
-            .withColumn("z", distance)
-            .withColumn("lam", ratio)
-            .select(*cells, *x, "c", *terms)
-            .groupBy(*cells)
-            .agg(*sums)
-        )
+    return (
+        points.join(params.select("_cell", "delta", "theta"), "_cell")
+        .select("_cell", "n", F.array(*xs, -F.col("c")).alias("aug"),
+                (index - F.col("theta") * F.col("c")).alias("z"))
+        .withColumn("lam", normal.mills(z))
+        .select("_cell", (n * normal.log_lower_tail(z)).alias("ll"), (n * lam).alias("nl"),
+                (n * lam * (lam + z)).alias("nw"), "aug")
+        .mapInArrow(_cell_sums, "_cell bigint, sums array<double>")
+        .select("_cell", F.posexplode("sums"))
+        .groupBy("_cell", "pos")
+        .agg(F.sum("col").alias("sum"))
+        .groupBy("_cell")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sum"))), lambda s: s["sum"]).alias("sums"))
+    )
 
-    return step
+
+#: What a cell carries from step to step, besides its moments; vectors are in scaled coordinates, but for
+#: ``delta`` and ``theta``, which are those of the trial point, or of the maximum once it is found.
+STATE = (
+    "keep array<int>, scale array<double>, at array<double>, ll double, step array<double>, trial array<double>,"
+    " steps int, slope double, status string, delta array<double>, theta double, sums array<double>"
+)
 
 
-@dataclass
 class _Cell:
-    """The state of one cell on the driver: a few vectors of the size of the regressors."""
-
-    key: tuple
-    n_free: float
-    n_cens: float
-    xx: np.ndarray
-    xy: np.ndarray
-    yy: float
-    keep: list[int] = field(default_factory=list)
-    scale: np.ndarray | None = None
-    at: np.ndarray | None = None  # accepted point in scaled coordinates
-    ll: float = -np.inf
-    step: np.ndarray | None = None
-    trial: np.ndarray | None = None
-    steps: int = 0
-    slope: float = np.inf
-    status: str = "open"
+    """One cell: its moments and the point that Newton's method has reached."""
+
+    def __init__(self, row: dict):
+        self.n_free, self.n_cens, self.yy = row["n_free"], row["n_cens"], row["yy"]
+        self.xy = np.array(row["xy"])
+        k = len(self.xy)
+        self.xx = np.zeros((k, k))
+        self.xx[np.triu_indices(k)] = row["xx"]
+        self.xx = np.triu(self.xx) + np.triu(self.xx, 1).T
+        self.keep, self.steps, self.status = row["keep"] or [], row["steps"] or 0, row["status"] or "open"
+        self.ll = -np.inf if row["ll"] is None else row["ll"]
+        self.slope = np.inf if row["slope"] is None else row["slope"]
+        for name in ("scale", "at", "step", "trial"):
+            setattr(self, name, None if row[name] is None else np.array(row[name]))
+
+    def state(self) -> dict:
+        """The columns of STATE."""
+        names = ("keep", "scale", "at", "ll", "step", "trial", "steps", "slope", "status")
+        out = {name: getattr(self, name) for name in names}
+        point = self.at if self.status == "ok" else self.trial
+        if point is not None:
+            delta = np.zeros(len(self.xy))
+            delta[self.keep] = point[:-1] / self.scale
+            out |= {"delta": delta, "theta": point[-1]}
+        return {name: v.tolist() if isinstance(v, (np.ndarray, np.generic)) else v for name, v in out.items()}
 
     def start(self) -> None:
         """Least squares on the uncensored rows; drops columns that depend on earlier ones."""
@@ -189,17 +206,20 @@ class _Cell:
         top = np.hstack([-xx, xy[:, None]])
         return ll, grad, np.vstack([top, np.append(xy, -n / t**2 - self.yy)])
 
-    def update(self, row) -> None:
+    def update(self, sums: list[float] | None) -> None:
         """Accept or halve the last step, given the censored part at the trial point."""
-        k = len(self.xy)
-        places = [*self.keep, k]
-        s = np.append(self.scale, 1.0)
-        g = np.array([row[f"g_{i}"] for i in places]) / s
-        h = np.array(
-            [[row[f"h_{min(i, j)}_{max(i, j)}"] for j in places] for i in places]
-        ) / np.outer(s, s)
+        if sums is None:
+            self.status = "no rows"
+            return
+        m = len(self.xy) + 1
+        places, s = [*self.keep, m - 1], np.append(self.scale, 1.0)
+        full = np.zeros((m, m))
+        full[np.triu_indices(m)] = sums[1 + m :]
+        full = np.triu(full) + np.triu(full, 1).T
+        g = np.array(sums[1 : 1 + m])[places] / s
+        h = full[np.ix_(places, places)] / np.outer(s, s)
         ll, grad, hess = self.free_part(self.trial)
-        ll, grad, hess = ll + row["ll"], grad + g, hess - h
+        ll, grad, hess = ll + sums[0], grad + g, hess - h
         self.steps += 1
         if not np.isfinite(ll) or ll < self.ll - 1e-11 * abs(self.ll):
             if self.at is None:
@@ -228,10 +248,22 @@ class _Cell:
         self.step = self.step / 2
         self.trial = self.at + self.step
 
-    def unscaled(self, p: np.ndarray) -> tuple[list[float], float]:
-        delta = np.zeros(len(self.xy))
-        delta[self.keep] = p[:-1] / self.scale
-        return [float(v) for v in delta], float(p[-1])
+
+def _begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _each_cell(batches, lambda cell, row: cell.start())
+
+
+def _advance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _each_cell(batches, lambda cell, row: cell.update(row["sums"]))
+
+
+def _each_cell(batches, act) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = batch.to_pylist()
+        for row in rows:
+            act(cell := _Cell(row), row)
+            row.update(cell.state())
+        yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
 
 
 def fit_censored(
@@ -244,65 +276,48 @@ def fit_censored(
     """The regression of ``y`` on ``x`` per cell, right-censored where ``cens`` is 1.
 
     Returns one row per cell with ``beta`` (intercept first, 0 for dropped columns), ``sigma``
-    and diagnostics; both are null where a cell has no fit, and ``status`` says why.
+    and diagnostics; both are null where a cell has no fit, and ``status`` says why. Null is a cell key
+    like any other. The cells are a table, one row each, and every step writes those still open, so there
+    may be any number of them; the driver sees how many are open, and no more.
     """
-    spark = df.sparkSession
-    points = design_points(df, cells, y, cens, x).persist()
-    try:
-        moments = design_moments(points, cells, x).limit(MAX_CELLS + 1).collect()
-        if len(moments) > MAX_CELLS:
-            raise ValueError(f"more than {MAX_CELLS} cells")
-        k = len(x) + 1
-        states = {}
-        for row in moments:
-            xx = np.zeros((k, k))
-            for i, j in _pairs(k):
-                xx[i, j] = xx[j, i] = row[f"xx_{i}_{j}"]
-            key = tuple(row[c] for c in cells)
-            xy = np.array([row[f"xy_{i}"] for i in range(k)])
-            states[key] = _Cell(key, row["n_free"], row["n_cens"], xx, xy, row["yy"])
-            states[key].start()
-        param_schema = T.StructType(
-            [points.schema[c] for c in cells]
-            + [T.StructField("delta", T.ArrayType(T.DoubleType()))]
-            + [T.StructField("theta", T.DoubleType())]
-        )
-        censored = points.where(F.col("cens") == 1)
-        step = _censored_step(cells, x)
-        while True:
-            active = [s for s in states.values() if s.status == "open"]
-            if not active:
-                break
-            params = spark.createDataFrame(
-                [(*s.key, *s.unscaled(s.trial)) for s in active], param_schema
-            )
-            met = {tuple(row[c] for c in cells): row for row in step(censored, params).collect()}
-            for s in active:
-                if s.key in met:
-                    s.update(met[s.key])
-                else:
-                    s.status = "no rows"
-    finally:
-        points.unpersist()
-    out = []
-    for s in states.values():
-        beta = sigma = None
-        if s.status == "ok":
-            delta, theta = s.unscaled(s.at)
-            beta, sigma = [d / theta for d in delta], 1 / theta
-        out.append(
-            (*s.key, int(s.n_free), int(s.n_cens), s.status, s.steps, len(s.keep), sigma, beta,
-             float(s.ll) if s.status == "ok" else None,
-             float(s.slope) if s.status == "ok" else None)
-        )
-    schema = T.StructType(
-        [points.schema[c] for c in cells]
-        + T._parse_datatype_string(
-            "n_free bigint, n_cens bigint, status string, steps int, rank int, "
-            "sigma double, beta array<double>, loglik double, decrement double"
-        ).fields
+    points = stage(design_points(df, cells, y, cens, x), "points")
+    pairs = _pairs(len(x) + 1)
+    state = design_moments(points, cells, x).select(
+        F.monotonically_increasing_id().alias("_cell"), *cells, "n_free", "n_cens", "yy",
+        F.array(*[f"xx_{i}_{j}" for i, j in pairs]).alias("xx"),
+        F.array(*[f"xy_{i}" for i in range(len(x) + 1)]).alias("xy"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in T._parse_datatype_string(STATE)],
+    )
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema])
+    state = stage(state.mapInArrow(_begin, schema), "cells")
+    own = left_null_safe(points.where(F.col("cens") == 1), state.select(*cells, "_cell"), cells)
+    censored = stage(own.select("_cell", *x, "c", "n"), "censored")
+    ended = []
+    is_open = F.col("status") == "open"
+    while True:
+        n_open, n_ended = state.agg(F.count_if(is_open), F.count_if(~is_open)).first()
+        if n_ended:
+            ended.append(state.where(~is_open))
+        if not n_open:
+            break
+        state = state.where(is_open).drop("sums")
+        sums = censored_sums(censored, state, x)
+        state = state.join(sums, "_cell", "left").select(*schema.names)
+        state = stage(state.mapInArrow(_advance, schema), "cells")
+    found = F.col("status") == "ok"
+    theta = F.col("theta")
+    out = reduce(DataFrame.unionByName, ended or [state]).select(
+        *cells,
+        *[F.col(c).cast("long").alias(c) for c in ("n_free", "n_cens")],
+        "status",
+        "steps",
+        F.coalesce(F.size("keep"), F.lit(0)).alias("rank"),
+        F.when(found, 1 / theta).alias("sigma"),
+        F.when(found, F.transform("delta", lambda d: d / theta)).alias("beta"),
+        F.when(found, F.col("ll")).alias("loglik"),
+        F.when(found, F.col("slope")).alias("decrement"),
     )
-    return spark.createDataFrame(out, schema)
+    return stage(out, "fits")
 
 
 def check_fits(fits: DataFrame) -> DataFrame:
@@ -335,8 +350,7 @@ def draw_censored(
     more than FAR standard deviations above the mean, the tail is taken as exp(-z * z / 2), which is
     exact there to one part in FAR squared and, unlike the distribution function, does not underflow.
     """
-    # one row per cell, at most MAX_CELLS
-    known = F.broadcast(fits.select(*cells, "beta", "sigma"))
+    known = fits.select(*cells, "beta", "sigma")
     xb = F.col("beta")[0]
     for i, c in enumerate(x, 1):
         xb = xb + F.col("beta")[i] * F.col(c)
