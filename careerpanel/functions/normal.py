@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,6 +105,23 @@ def mills(z: Column) -> Column:
     )
 
 
+def tail_of_batch(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`log_lower_tail` and :func:`mills` of a batch; as columns they are one method too large to be compiled."""
+
+    def ratio(coefficients, x):
+        return np.polyval(coefficients[0], x) / np.polyval(coefficients[1], x)
+
+    with np.errstate(all="ignore"):  # each branch is computed for all and kept where it holds
+        x, density = np.abs(z) / math.sqrt(2), np.exp(-z * z / 2)
+        sq = x * x
+        far = (1 / math.sqrt(math.pi) - ratio(ERFC_FAR, 1 / sq) / sq) / x
+        near = np.exp(sq) * (1 - x * ratio(ERF_NEAR, sq))
+        scaled = np.where(x <= 0.46875, near, np.where(x <= 4.0, ratio(ERFC_MIDDLE, x), far))
+        log = np.where(z < 0, np.log(scaled / 2) - sq, np.log1p(-density * scaled / 2))
+        above = density / math.sqrt(2 * math.pi) / (1 - density * scaled / 2)
+        return log, np.where(z < 0, math.sqrt(2 / math.pi) / scaled, above)
+
+
 def quantile(p: Column) -> Column:
     """Inverse of :func:`lower_tail` for 0 < p < 1."""
     q = p - 0.5

@@ -28,6 +28,7 @@ KEY = ["persnr", "spell", "begepi"]
 MAX_STEPS = 60
 TOLERANCE = 1e-6
 FAR = 30
+BELOW = 1e-9
 
 
 def in_sample(x: list[str] = REGRESSORS, y: str = "ln_wage", cens: str = "cens") -> Column:
@@ -90,8 +91,10 @@ def _cell_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        cell, ll, nl, nw = (batch.column(i).to_numpy() for i in range(4))
-        aug = batch.column(4).flatten().to_numpy().reshape(len(cell), -1)
+        cell, n, z = (batch.column(i).to_numpy() for i in range(3))
+        log_tail, lam = normal.tail_of_batch(z)
+        ll, nl, nw = n * log_tail, n * lam, n * lam * (lam + z)
+        aug = batch.column(3).flatten().to_numpy().reshape(len(cell), -1)
         i, j = np.triu_indices(aug.shape[1])
         terms = np.column_stack([ll, nl[:, None] * aug, nw[:, None] * aug[:, i] * aug[:, j]])
         order = np.argsort(cell, kind="stable")
@@ -103,21 +106,16 @@ def _cell_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def censored_sums(points: DataFrame, params: DataFrame, x: list[str]) -> DataFrame:
     """(``_cell``, ``sums``): log-likelihood, gradient and Hessian of the censored points at the parameters.
 
-    Both frames carry ``_cell``. The normal functions are columns; the products, too many for one compiled
-    method, are summed per batch with numpy, so that few rows are left to add up.
+    Both frames carry ``_cell``. Normal functions and products are too much for one compiled method of the JVM:
+    numpy computes and sums them per batch, so that few rows are left to add up.
     """
     xs = _regressor_columns(x)
     index = F.lit(0.0)
     for i, c in enumerate(xs):
         index = index + F.col("delta")[i] * c
-    z, lam, n = F.col("z"), F.col("lam"), F.col("n")
     return (
         points.join(params.select("_cell", "delta", "theta"), "_cell")
-        .select("_cell", "n", F.array(*xs, -F.col("c")).alias("aug"),
-                (index - F.col("theta") * F.col("c")).alias("z"))
-        .withColumn("lam", normal.mills(z))
-        .select("_cell", (n * normal.log_lower_tail(z)).alias("ll"), (n * lam).alias("nl"),
-                (n * lam * (lam + z)).alias("nw"), "aug")
+        .select("_cell", "n", (index - F.col("theta") * F.col("c")).alias("z"), F.array(*xs, -F.col("c")).alias("aug"))
         .mapInArrow(_cell_sums, "_cell bigint, sums array<double>")
         .select("_cell", F.posexplode("sums"))
         .groupBy("_cell", "pos")
@@ -349,6 +347,7 @@ def draw_censored(
     Rows outside the sample and censored rows of a cell without a fit stay null. Where the limit is
     more than FAR standard deviations above the mean, the tail is taken as exp(-z * z / 2), which is
     exact there to one part in FAR squared and, unlike the distribution function, does not underflow.
+    A draw that is missing or below the observed wage ends the job.
     """
     known = fits.select(*cells, "beta", "sigma")
     xb = F.col("beta")[0]
@@ -360,26 +359,70 @@ def draw_censored(
     far = -F.sqrt(beyond * beyond - 2 * F.log(uniform(seed)))
     z = F.when(beyond < -FAR, far).otherwise(normal.bound(tail, normal.quantile))
     draw = F.col("_xb") - sigma * z
+    right = (F.col("_draw") >= F.col("ln_wage") - BELOW) & ~F.isnan("_draw")
+    right = F.coalesce(right, F.lit(False))
     return (
         left_null_safe(df, known, cells)
         .withColumn("_xb", F.when(sample & (F.col("cens") == 1), xb))
+        .withColumn("_draw", F.when(F.col("_xb").isNotNull(), draw))
         .withColumn(
             "ln_wage_imp",
-            F.when(F.col("_xb").isNotNull(), draw).when(
-                sample & (F.col("cens") == 0), F.col("ln_wage")
-            ),
+            F.when(F.col("_xb").isNotNull() & ~right, F.raise_error(F.lit("a draw is missing or below the observed wage")))
+            .when(F.col("_xb").isNotNull(), F.col("_draw"))
+            .when(sample & (F.col("cens") == 0), F.col("ln_wage")),
         )
-        .drop("beta", "sigma", "_xb")
+        .drop("beta", "sigma", "_xb", "_draw")
     )
 
 
-def draws_below(df: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+def draws_below(df: DataFrame, tolerance: float = BELOW) -> DataFrame:
     """Number of imputed wages below the observed one (one row, should be 0)."""
     return df.agg(
         F.count_if(F.col("ln_wage_imp") < F.col("ln_wage") - tolerance).alias("below")
     )
 
 
+def places_in_tail(drawn: DataFrame, fits: DataFrame, cells: list[str] = CELL, x: list[str] = REGRESSORS) -> DataFrame:
+    """Censored rows of the sample and ``place``: the share of the fitted tail above the limit that lies beyond
+    the draw, null without a fit. If fit and draw are right, it is the uniform number that the draw was made of."""
+    xb = F.col("beta")[0]
+    for i, c in enumerate(x, 1):
+        xb = xb + F.col("beta")[i] * F.col(c)
+    rows = drawn.where(in_sample(x) & (F.col("cens") == 1))
+
+    def beyond(c: str) -> Column:
+        return normal.log_lower_tail((F.col("_xb") - F.col(c)) / F.col("sigma"))
+
+    rows = left_null_safe(rows, fits.select(*cells, "beta", "sigma"), cells).withColumn("_xb", xb)
+    return rows.withColumn("place", F.exp(beyond("ln_wage_imp") - beyond("ln_limit_assess4"))).drop("beta", "sigma", "_xb")
+
+
+def fit_slopes(
+    df: DataFrame, fits: DataFrame, cells: list[str] = CELL, y: str = "ln_wage", cens: str = "cens", x: list[str] = REGRESSORS
+) -> DataFrame:
+    """Per cell of ``fits``: ``slope``, the largest slope of the plain likelihood of the rows at the fitted point.
+
+    Slopes are per row, with regressors in units of their root mean square; at a maximum they are 0, but
+    for columns that the fit dropped, which count as 0.
+    """
+    xs = _regressor_columns(x)
+    xb = F.col("beta")[0]
+    for i, c in enumerate(x, 1):
+        xb = xb + F.col("beta")[i] * F.col(c)
+    rows = left_null_safe(df.select(*cells, cens, y, *x), fits.select(*cells, "beta", "sigma"), cells)
+    rows = rows.withColumn("_e", (F.col(y) - xb) / F.col("sigma"))
+    e, free = F.col("_e"), F.col(cens) == 0
+    rows = rows.withColumn("_pull", F.when(free, e).otherwise(normal.mills(-e)))
+    pull = F.col("_pull")
+    scores = [F.abs(F.sum(pull * c)) / F.sqrt(F.count("_e") * F.sum(F.lit(1.0) * c * c)) for c in xs]
+    used = [F.first("beta")[i] != 0 for i in range(len(xs))]
+    spread = F.abs(F.avg(F.when(free, e * e - 1).otherwise(e * pull)))
+    slopes = rows.groupBy(*cells).agg(
+        F.greatest(*[F.when(u, s).otherwise(0.0) for u, s in zip(used, scores, strict=True)], spread).alias("slope")
+    )
+    return left_null_safe(fits, slopes, cells)
+
+
 def check_draws(df: DataFrame) -> DataFrame:
     """C12 as an assertion: raises if a draw is below the limit, else hands the frame on."""
     below = draws_below(df).first()["below"]

@@ -175,6 +175,21 @@ def _drawn(spark, sf_dir) -> DataFrame:
     return tobit.draw_censored(rows, fits)
 
 
+# with more uncensored rows than coefficients a cell has a fit; with fewer it depends on their rank
+SURE = f"n_free > {len(tobit.REGRESSORS) + 1}"
+
+
+def _c10_slopes(spark, sf_dir) -> DataFrame:
+    rows, fits = _fits(spark, sf_dir)
+    slopes = tobit.fit_slopes(rows.where(tobit.in_sample()), fits)
+    return slopes.withColumn("status", F.when(F.expr(SURE), F.col("status")))
+
+
+def _c11_places(spark, sf_dir) -> DataFrame:
+    rows, fits = _fits(spark, sf_dir)
+    return tobit.places_in_tail(tobit.draw_censored(rows, fits), fits.where(SURE))
+
+
 def _c13_places(spark, sf_dir) -> DataFrame:
     same = F.col("ln_wage_imp") == F.col("ln_wage")
     return _drawn(spark, sf_dir).agg(
@@ -257,6 +272,11 @@ QUERIES: dict[str, Query] = {
               lookups=["ceiling"]),
     ),
     "s5_store": Query(_s5_store, "i:persnr i:year i:nspell r6:wage_imp"),
+    "s5_stored": Query(
+        _s5_store,
+        MAIN + " ein_erw i:anz_lst i:tage_lst i:parallel_jobs r6:parallel_wage i:year_days_emp i:year_days_benefits",
+        _from("cut"),
+    ),
     # episodes
     "e1_year_age": Query(
         lambda s, d: split.add_year_age(episodes(s, d)),
@@ -471,6 +491,27 @@ QUERIES: dict[str, Query] = {
         "i:year i:educ_tmp i:east i:n_free i:n_cens status i:rank r6:sigma",
     ),
     "c11_draw": Query(_drawn, ROW + " i:cens r6:ln_wage r6:ln_wage_imp"),
+    # at the fitted point the plain likelihood of the rows has no slope
+    "c10_slopes": Query(
+        _c10_slopes,
+        "i:year i:educ_tmp i:east i:n_free i:n_cens status r4:slope",
+        _from("cen", f"""
+  SELECT year, educ_tmp, east, count(*) FILTER (cens = 0) AS n_free, count(*) FILTER (cens = 1) AS n_cens,
+         CASE WHEN count(*) FILTER (cens = 0) > {len(tobit.REGRESSORS) + 1} THEN 'ok' END AS status, 0 AS slope
+  FROM cen WHERE {SAMPLE} GROUP BY year, educ_tmp, east"""),
+    ),
+    # a draw's place in the tail of its fit is the uniform number of its row
+    "c11_places": Query(
+        _c11_places,
+        ROW + " i:year r6:place",
+        _from("cen", f"""
+  SELECT * EXCLUDE (u), CASE WHEN n_free > {len(tobit.REGRESSORS) + 1} THEN u END AS place
+  FROM (SELECT *, count(*) FILTER (cens = 0) OVER (PARTITION BY year, educ_tmp, east) AS n_free,
+               (CAST('0x' || substr(md5(persnr || '|' || spell || '|' || begepi || '|0'), 1, 13) AS BIGINT)
+                + CAST(0.5 AS DOUBLE)) / 4503599627370496 AS u
+        FROM cen WHERE {SAMPLE})
+  WHERE cens = 1"""),
+    ),
     "c12_draws_below": Query(
         lambda s, d: tobit.draws_below(_drawn(s, d)),
         "i:below",

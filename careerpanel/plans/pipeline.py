@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from careerpanel.functions.frames import pack, unpack
 from careerpanel.functions.people import BLOCK, ROW_LIMIT, People, by_person
 from careerpanel.operators import biography, censor, enrich, panel, split, tobit
-from careerpanel.schema import PANEL, conform
+from careerpanel.schema import PANEL, check_key, conform, raise_on_copies
 from careerpanel.sources.lookups import Lookups, default_lookups
 from careerpanel.sources.staging import stage
 
@@ -29,6 +29,12 @@ PANEL_COLUMNS = [
 ]
 
 
+def checked(people: People) -> People:
+    """The same rows; (``persnr``, ``spell``) that is no key ends the job. Heavy persons are counted by key."""
+    heavy = None if people.heavy is None else check_key(people.heavy)
+    return People(raise_on_copies(people.ordinary), heavy, people.block, people.heavy_ids)
+
+
 def build_biographies(people: People, compat: bool = False) -> People:
     """E1, E4, E5 and B1-B11 on placed episodes."""
     people = people.map(split.add_year_age).map(split.split_episodes)
@@ -98,12 +104,13 @@ def prepare_panel(
 ) -> DataFrame:
     """the yearly panel of an episode table. Wrong ``handling`` or ``cutoff`` fail before any work.
 
+    Episodes that share (``persnr``, ``spell``) and draws that are missing or below the wage end the job too.
     ``fits`` are those of ``tobit.fit_censored``, if they are known; else the job fits and checks them.
     """
     panel.check_handling(handling)
     date(2000, *cutoff)
     lookups = lookups or default_lookups(df.sparkSession)
-    people = build_biographies(by_person(conform(df), row_limit, block), compat)
+    people = build_biographies(checked(by_person(conform(df), row_limit, block)), compat)
     prepared = stage(
         people.map(enrich_episodes, lookups).map(prepare_wages).merged(), "prepared"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,3 +74,15 @@ def check_key(df: DataFrame) -> DataFrame:
     if bad:
         raise ValueError(f"(persnr, spell) is not a key, for example {bad}")
     return df
+
+
+def raise_on_copies(placed: DataFrame) -> DataFrame:
+    """The rows, of which a second one with the same ``persnr`` and ``spell`` ends the job that reads it.
+
+    On rows placed by ``persnr`` this is a sort within partitions and no exchange.
+    """
+    before = F.lag("spell").over(Window.partitionBy("persnr").orderBy("spell"))
+    copy = F.raise_error(F.lit("(persnr, spell) is not a key")).cast("long")
+    return placed.withColumn("_before", before).withColumn(
+        "spell", F.when(F.col("_before") == F.col("spell"), copy).otherwise(F.col("spell"))
+    ).drop("_before")

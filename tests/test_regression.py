@@ -207,6 +207,17 @@ def test_normal_functions(spark):
         assert r["q"] == pytest.approx(r["z"], abs=1e-9)
 
 
+def test_normal_functions_of_a_batch():
+    zs = np.array([-200.0, -30.0, -5.7, -1.0, -0.5, -0.1, 0.0, 0.3, 1.0, 5.0, 40.0])
+    for z, log_tail, ratio in zip(zs, *normal.tail_of_batch(zs), strict=True):
+        if z > -38:
+            p = 0.5 * math.erfc(-z / math.sqrt(2))
+            log_p = math.log(p) if z < 0 else math.log1p(-0.5 * math.erfc(z / math.sqrt(2)))
+            assert log_tail == pytest.approx(log_p, rel=1e-12, abs=1e-300)
+            assert ratio == pytest.approx(math.exp(-z * z / 2) / math.sqrt(2 * math.pi) / p, rel=1e-12, abs=1e-300)
+        assert np.isfinite([log_tail, ratio]).all()
+
+
 def test_null_cell_keys_are_a_cell(spark):
     draw = np.random.default_rng(7)
     rows = []
@@ -217,3 +228,46 @@ def test_null_cell_keys_are_a_cell(spark):
     df = spark.createDataFrame(rows, "cell string, x double, ln_wage double, cens int, ln_limit_assess4 double")
     fits = tobit.fit_censored(df, cells=["cell"], x=["x"]).collect()
     assert {(r.cell, r.status) for r in fits} == {("a", "ok"), (None, "ok")}
+
+
+def test_a_step_is_compiled(spark):
+    """The JVM leaves methods above 8,000 bytes to its interpreter."""
+    import re
+
+    names = [*tobit.REGRESSORS, "c", "n"]
+    points = spark.range(9).select(F.col("id").alias("_cell"), *[F.rand().alias(c) for c in names])
+    params = spark.range(9).select(F.col("id").alias("_cell"), F.array(F.rand()).alias("delta"), F.rand().alias("theta"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        query = tobit.censored_sums(points, params, tobit.REGRESSORS)._jdf.queryExecution()
+        text = spark._jvm.PythonSQLUtils.explainString(query, "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_each_fit_has_no_slope(spark):
+    df = _sample(spark)
+    fits = _fit(df)
+    assert tobit.fit_slopes(df, fits, ["cell"], "y", "cens", X).agg(F.max("slope")).first()[0] < 1e-4
+    off = fits.withColumn("sigma", F.col("sigma") * 1.1)
+    assert tobit.fit_slopes(df, off, ["cell"], "y", "cens", X).agg(F.min("slope")).first()[0] > 1e-2
+
+
+def test_a_draw_below_the_limit_ends_the_job(spark):
+    df = _prepared(spark)
+    fits = tobit.fit_censored(df.where(tobit.in_sample())).withColumn("sigma", F.lit(float("nan")))
+    with pytest.raises(Exception, match="a draw is missing"):
+        tobit.draw_censored(df, fits).select("ln_wage_imp").collect()
+
+
+def test_an_episode_given_twice_ends_the_job(spark):
+    from careerpanel.plans.adapter import episodes
+    from careerpanel.plans.pipeline import prepare_panel
+
+    df = episodes(spark, "/root/testdata/sf0.001")
+    with pytest.raises(Exception, match="is not a key"):
+        prepare_panel(df.unionByName(df))
+    with pytest.raises(ValueError, match="is not a key"):
+        prepare_panel(df.unionByName(df), row_limit=5)
