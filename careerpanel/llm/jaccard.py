@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -108,6 +110,15 @@ class Parts:
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
+def prefix(s: np.ndarray, percent: int) -> np.ndarray:
+    """The least hashes of a sorted set: any two sets that link have one of these in common.
+
+    Such sets share at least percent / 100 of either, so at least that many less one of a set's hashes
+    follow the least common one.
+    """
+    return s[: len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s
+
+
 class Tree:
     """A binary tree over sets. A node holds the OR and the AND of its sets' bitmaps and their range of sizes."""
 
@@ -262,50 +273,64 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     ``width`` words, compared by 64-bit hash. A text without words, or null, has an empty set and links with
     nothing. Repeated rows and equal sets are one set from the start. Further columns are not read.
 
-    Equal sets are one class. Classes that link share a key of ``Parts``; classes that share one, by any
-    chain, form a cluster, and within clusters signature trees find the links.
+    Equal sets are one class. Only classes whose ``prefix`` meets that of another can link. Of these, classes
+    that link share a key of ``Parts``; classes that share one, by any chain, form a cluster, and within
+    clusters signature trees find the links.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
 
-    def part_keys():
-        shingle, parts = Shingler(width), Parts(percent)
+    def marks():
+        shingle = Shingler(width)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = [shingle(t) for t in strings(batch, 1)]
             digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             n = pa.array([len(s) for s in sets], pa.int64())
-            keys = lists([parts(s).view(np.int64) for s in sets], pa.int64())
-            return pa.record_batch([batch.column(0), batch.column(2), n, pa.array(digest, pa.binary()), keys], names=["id", "key", "n", "digest", "parts"])
+            least = lists([prefix(s, percent).view(np.int64) for s in sets], pa.int64())
+            return pa.record_batch([batch.column(0), batch.column(2), n, pa.array(digest, pa.binary()), least], names=["id", "key", "n", "digest", "marks"])
 
         return step
 
     kind = rows.schema["id"].dataType.simpleString()
-    seen = map_slices(rows, part_keys, f"id {kind}, key bigint, n bigint, digest binary, parts array<bigint>")
+    seen = map_slices(rows, marks, f"id {kind}, key bigint, n bigint, digest binary, marks array<bigint>")
     seen = stage(seen.withColumn("rid", F.monotonically_increasing_id()), "sets")
     classes = seen.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("id").alias("least"))
     classes = stage(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    first = stage(classes.join(seen.select("rid", "key", "parts"), "rid").select("c", "digest", "key", "parts"), "first")
-    entries = first.select("c", F.explode("parts").alias("part"))
-    star = entries.groupBy("part").agg(F.min("c").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = stage(classes.join(seen.select("rid", "key", "marks"), "rid").select("c", "digest", "key", "marks"), "first")
+    marked = first.select("c", F.explode("marks").alias("mark"))
+    shared = stage(marked.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "marks")
+    may_link = stage(marked.join(shared, "mark").select("c").distinct(), "may-link")
+    first = first.drop("marks").join(may_link, "c", "left_semi")
+
+    def whole_sets(after: Callable[[np.ndarray], np.ndarray]):
+        """(c, value): of a class' own text, not of one with an equal key, what ``after`` makes of its set."""
+
+        def start():
+            shingle = Shingler(width)
+
+            def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+                sets = [shingle(t) for t in strings(batch, 2)]
+                digests = batch.column(1).to_pylist()
+                right = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == digests[i]]
+                values = lists([after(sets[i]).view(np.int64) for i in right], pa.int64())
+                return pa.record_batch([batch.column(0).take(pa.array(right, pa.int64())), values], names=["c", "value"])
+
+            return step
+
+        return start
+
+    texts = rows.select("key", "text")
+    # equal rows give their class' keys once each
+    keyed = map_slices(texts.join(first, "key").select("c", "digest", "text"), whole_sets(Parts(percent)), "c bigint, value array<bigint>")
+    keyed = stage(keyed, "parts")
+    entries = keyed.select("c", F.explode("value").alias("part"))
+    star = entries.groupBy("part").agg(F.min("c").alias("u"), F.max("c").alias("v")).where("u <> v").drop("v")
     star = stage(star, "stars")
     edges = entries.join(star, "part").where("c <> u").select("u", F.col("c").alias("v")).distinct()
-    clusters = components(edges)
-    members = clusters.select(F.col("label").alias("k"), F.col("node").alias("c")).join(first.select("c", "digest", "key"), "c")
-    texts = rows.select("key", "text").join(members, "key").select("k", "c", "digest", "text")
-
-    def whole_sets():
-        shingle = Shingler(width)
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingle(t) for t in strings(batch, 3)]
-            digests = batch.column(2).to_pylist()
-            right = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == digests[i]]
-            at = pa.array(right, pa.int64())
-            return pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), lists([sets[i].view(np.int64) for i in right], pa.int64())], names=["k", "c", "set"])
-
-        return step
-
-    sets = stage(map_slices(texts, whole_sets, "k bigint, c bigint, set array<bigint>"), "sets")
+    clusters = stage(components(edges), "clusters")
+    members = first.join(clusters, F.col("c") == F.col("node"), "left_semi")
+    found = map_slices(texts.join(members, "key").select("c", "digest", "text"), whole_sets(lambda s: s), "c bigint, value array<bigint>")
+    sets = stage(found.join(clusters, F.col("c") == F.col("node")).select(F.col("label").alias("k"), "c", F.col("value").alias("set")), "sets")
     linked = components(stage(_join_sets(sets, percent), "links")).withColumnRenamed("node", "c")
     labels = classes.join(linked, "c", "left").withColumn("label", F.coalesce("label", "c"))
     least = labels.groupBy("label").agg(F.min("least").alias("component"))

@@ -26,8 +26,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest id."""
-    groups = jaccard.jaccard_components(docs, width=3, percent=90)
+    """Of each component of documents that share 0.8 of their runs of five words the one with the smallest id."""
+    groups = jaccard.jaccard_components(docs, width=5, percent=80)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
     return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
 

@@ -125,6 +125,31 @@ def test_jaccard_components_equal_all_pairs(docs, empty, width, percent):
     assert jaccard.jaccard_components(empty, width, percent).count() == 0
 
 
+def test_near_copies_of_five_words_and_four_fifths_go(spark):
+    """Scattered edits and an added passage, above 0.8 on 5 words and below 0.9 on 3."""
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(400)]
+    edited = [f"x{k}" if k % 80 == 40 else w for k, w in enumerate(words)]
+    texts = [(1, words), (2, edited), (3, words + [f"y{k}" for k in range(80)]), (4, words[:200] + [f"z{k}" for k in range(200)]), (5, words[200:])]
+    texts = [(i, " ".join(w), "en") for i, w in texts]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    assert near(texts, 3, 90) != near(texts, 5, 80)
+    stay = {i for i, _, c in near(texts, 5, 80).elements() if i == c}
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, frame, "").collect()} == stay == {1, 4, 5}
+
+
+def test_prefixes_of_linked_sets_meet():
+    draw = np.random.default_rng(6)
+    for percent in (80, 90):
+        for n in [*range(1, 40), 517]:
+            whole = np.unique(draw.integers(0, 2**63, n).astype(np.uint64))
+            for drop in range(len(whole)):
+                b = np.delete(whole, draw.permutation(len(whole))[:drop])
+                if 100 * len(b) >= percent * len(whole):
+                    assert len(np.intersect1d(jaccard.prefix(whole, percent), jaccard.prefix(b, percent)))
+
+
 def test_jaccard_cuts_large_clusters(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TREE", 8)
     draw = np.random.default_rng(3)
