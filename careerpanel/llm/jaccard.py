@@ -18,6 +18,8 @@ from careerpanel.sources.staging import stage
 CACHE = 400_000
 #: Sets of a signature tree, of a leaf, and words of 64 bits in a bitmap.
 TREE, LEAF, WORDS = 2000, 16, 16
+#: A set goes on if at least one in SHARE of its hashes is among the least of other sets, too.
+SHARE = 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -110,13 +112,22 @@ class Parts:
         return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
+def least_common(n: int, percent: int) -> int:
+    """How many hashes a set of ``n`` and any that links with it share at least."""
+    return -(-percent * n // 100)
+
+
 def prefix(s: np.ndarray, percent: int) -> np.ndarray:
-    """The least hashes of a sorted set: any two sets that link have one of these in common.
+    """The least hashes of a sorted set: any two sets that link have ``least_marks`` of either in common here.
 
-    Such sets share at least percent / 100 of either, so at least that many less one of a set's hashes
-    follow the least common one.
+    Of what two linked sets share the k least are among all but ``least_common`` less k of either. k is a
+    SHARE-th of the set's size; the other set may be as small as ``least_common``, and has its own k.
     """
-    return s[: len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s
+    return s[: len(s) - least_common(len(s), percent) + max(1, len(s) // SHARE)] if len(s) else s
+
+
+def least_marks(n: int, percent: int) -> int:
+    return max(1, least_common(n, percent) // SHARE)
 
 
 class Tree:
@@ -273,7 +284,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     ``width`` words, compared by 64-bit hash. A text without words, or null, has an empty set and links with
     nothing. Repeated rows and equal sets are one set from the start. Further columns are not read.
 
-    Equal sets are one class. Only classes whose ``prefix`` meets that of another can link. Of these, classes
+    Equal sets are one class. Only classes whose ``prefix`` meets those of others often enough can link. Of these, classes
     that link share a key of ``Parts``; classes that share one, by any chain, form a cluster, and within
     clusters signature trees find the links.
     """
@@ -286,21 +297,22 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
             sets = [shingle(t) for t in strings(batch, 1)]
             digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             n = pa.array([len(s) for s in sets], pa.int64())
+            need = pa.array([least_marks(len(s), percent) for s in sets], pa.int64())
             least = lists([prefix(s, percent).view(np.int64) for s in sets], pa.int64())
-            return pa.record_batch([batch.column(0), batch.column(2), n, pa.array(digest, pa.binary()), least], names=["id", "key", "n", "digest", "marks"])
+            return pa.record_batch([batch.column(0), batch.column(2), n, pa.array(digest, pa.binary()), need, least], names=["id", "key", "n", "digest", "need", "marks"])
 
         return step
 
     kind = rows.schema["id"].dataType.simpleString()
-    seen = map_slices(rows, marks, f"id {kind}, key bigint, n bigint, digest binary, marks array<bigint>")
+    seen = map_slices(rows, marks, f"id {kind}, key bigint, n bigint, digest binary, need bigint, marks array<bigint>")
     seen = stage(seen.withColumn("rid", F.monotonically_increasing_id()), "sets")
     classes = seen.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("id").alias("least"))
     classes = stage(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    first = stage(classes.join(seen.select("rid", "key", "marks"), "rid").select("c", "digest", "key", "marks"), "first")
+    first = stage(classes.join(seen.select("rid", "key", "need", "marks"), "rid").select("c", "digest", "key", "need", "marks"), "first")
     marked = first.select("c", F.explode("marks").alias("mark"))
     shared = stage(marked.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "marks")
-    may_link = stage(marked.join(shared, "mark").select("c").distinct(), "may-link")
-    first = first.drop("marks").join(may_link, "c", "left_semi")
+    met = stage(marked.join(shared, "mark").groupBy("c").agg(F.count("*").alias("met")), "met")
+    first = first.drop("marks").join(met, "c").where("met >= need").select("c", "digest", "key")
 
     def whole_sets(after: Callable[[np.ndarray], np.ndarray]):
         """(c, value): of a class' own text, not of one with an equal key, what ``after`` makes of its set."""
