@@ -16,6 +16,8 @@ WINDOW, SURGE = 3, 86
 #: Elements whose content is not shown as text, and those that hold no article text.
 RAW = {"script", "style", "noscript", "template", "iframe", "object", "textarea", "svg", "math", "canvas", "audio", "video", "title"}
 ASIDE = {"nav", "aside", "footer", "form", "button", "select", "dialog", "menu", "menuitem", "label", "input"}
+#: Elements that hold all of the text.
+WHOLE = {"html", "body", "main", "article"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark",
@@ -35,12 +37,15 @@ _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def marked(attributes: str, inside: bool) -> bool:
-    """Whether an element's names or attributes say that it is no part of an article."""
+def marked(name: str, attributes: str, inside: bool) -> bool:
+    """Whether an element's names or attributes say that it is no part of an article. Names of the page as a
+    whole and of articles say nothing."""
     if not attributes:
         return False
     if _HIDDEN.search(attributes):
         return True
+    if name in WHOLE:
+        return False
     words = {w for m in _MARK.finditer(attributes) for w in _WORD.findall(_CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower())}
     found = words & MARKS
     return bool(found - {"header", "banner"} if inside else found)
@@ -49,8 +54,9 @@ def marked(attributes: str, inside: bool) -> bool:
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """The page's lines in order: text, characters of it in links, whether in an article.
 
-    A line ends where a block-level element begins or ends. Left out: markup, comments, elements of RAW and
-    ASIDE, page headers, and elements marked as asides by name; each leaves an empty line outside of articles.
+    A line ends where a block-level element begins or ends, and is not empty. Left out: markup, comments,
+    elements of RAW and ASIDE, page headers, and elements marked as asides by name; each but those of RAW leaves
+    one empty line outside of articles.
     """
     out: list[tuple[str, int, bool]] = []
     open_: list[str] = []
@@ -61,7 +67,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
     def end() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
-        if text or not depth:
+        if text:
             out.append((text, linked, depth > 0))
         parts.clear()
         linked = 0
@@ -112,8 +118,10 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 open_.pop()
         open_.append(name)
         if skip < 0:
-            if name in ASIDE or (name == "header" and not depth) or marked(m[3], depth > 0 or name in ("article", "main", "body", "html")):
+            if name in ASIDE or (name == "header" and not depth) or marked(name, m[3], depth > 0):
                 skip = len(open_) - 1
+                if not depth:
+                    out.append(("", 0, False))
             elif name in ("article", "main"):
                 depth += 1
     if skip < 0:

@@ -291,6 +291,13 @@ def test_main_text(spark):
     assert html_text.extract(frame.limit(0)).count() == 0
 
 
+def test_wrapped_blocks_and_marked_pages_keep_their_text():
+    long = "word " * 39 + "word"
+    assert html_text.main_text(f"<div><h1>T</h1></div><div><p>{long}</p></div>") == f"T\n{long}"
+    assert html_text.main_text(f"<div><p>{long}</p></div><div><p>Short end.</p></div>") == f"{long}\nShort end."
+    assert html_text.main_text(f"<body class='has-sidebar search'><main id=comments><p>{long}</p></main></body>") == long
+
+
 def test_pipeline_keeps_what_no_stage_rejects(spark):
     import corpus_pipeline
 
