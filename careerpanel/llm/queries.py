@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerpanel.llm import bpe, decontam, exact_dedup, hmm, html_text, jaccard, langid, quality, sharding, token_counts
+from careerpanel.llm import bpe, decontam, exact_dedup, hmm, html_text, jaccard, langid, lexical, quality, quality_rules, sharding, spelling, token_counts
 from careerpanel.llm.common import fold
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -75,6 +75,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,12 +106,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_jaccard_join,
         op9_decontamination,
         op10_html_text,
+        op11_spelling_variants,
+        op12_lexical_search,
+        op13_quality_rules,
         pipeline,
     )
 }
 
 _PLAIN = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+_TERMS = _WORDS.replace("lower(coalesce(text, ''))", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 _GRAMS = "list_distinct([array_to_string(w[i : i + {n} - 1], ' ') for i in range(1, len(w) - {n} + 2)])"
 
 ORACLE_SQL: dict[str, str] = {
@@ -115,4 +131,20 @@ ORACLE_SQL: dict[str, str] = {
              i AS (SELECT item_id, len(gs) AS n, unnest(gs) AS g FROM b)
         SELECT doc_id, item_id, any_value(n) AS n_shingles, count(*) AS n_shared, count(*) / any_value(n) AS containment
         FROM i JOIN d USING (g) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)""",
+    "op12_lexical_search": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents),
+             s AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+             i AS (SELECT DISTINCT item_id, text FROM benchmark),
+             q AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS t FROM i),
+             p AS (SELECT r, any_value(doc_id) AS doc_id, t, count(*) AS tf, any_value(m) AS m
+                   FROM (SELECT r, doc_id, unnest(w) AS t, 50 + (50 * len(w) * n) // l AS m FROM d, s)
+                   WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+             k AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS wt
+                   FROM (SELECT t, count(*) AS df FROM p GROUP BY t), s),
+             x AS (SELECT item_id, r, any_value(doc_id) AS doc_id,
+                          CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+                   FROM q JOIN p USING (t) JOIN k USING (t) GROUP BY item_id, r)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+        WHERE rank <= 50""",
 }
