@@ -51,8 +51,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             sizes, levels, sketches = [], [], []
             for text in strings(batch, 1):
                 counts = Counter(terms(text))
-                for t in counts.keys() - known.keys():
-                    known[t] = xxhash.xxh3_64_intdigest(t)
+                for t in counts:
+                    if t not in known:
+                        known[t] = xxhash.xxh3_64_intdigest(t)
                 h = np.fromiter(map(known.__getitem__, counts), np.uint64, len(counts))
                 tf = np.fromiter(counts.values(), np.int64, len(counts))
                 if len(known) > CACHE:

@@ -23,8 +23,8 @@ FLOORS = {"x_length": 0.06, "x_symbols": 0.08, "x_lines": 0.15, "x_repeats": 0.1
 SHARE, REJECT = 0.75, 0.0005
 #: A group of fewer rows is judged by its language, a language of fewer by all.
 LEAST = 50
-#: Steps end when nothing changes, at the latest after STEPS; distances are compared in BINS bins.
-STEPS, BINS = 20, 1024
+#: Concentration steps, and bins in which distances are compared.
+STEPS, BINS = 8, 1024
 _SYMBOLS, _SPACES = b"#*$%&|<>", b" \t\n\x0b\x0c\r"
 _X = list(FLOORS)
 
@@ -163,8 +163,8 @@ def estimates(points: DataFrame) -> DataFrame:
     covariance determinant by concentration steps.
 
     A step takes the SHARE of a group's rows that are nearest by the last estimate (whole bins of distances)
-    and estimates from these; the determinant falls with each step. The first estimate is medians and their
-    deviations. All rows of a group are in each step; they are summed by bin before they move, so a group may
+    and estimates from these; the determinant falls with each step, and after STEPS of them hardly changes. The
+    first estimate is medians and their deviations. All rows of a group are in each step; they are summed by bin before they move, so a group may
     hold any share of all rows, and groups may be many. The covariance of the nearest rows is made consistent
     for normal rows by a factor.
     """
@@ -180,17 +180,12 @@ def estimates(points: DataFrame) -> DataFrame:
     now = stage(middle.join(off, "of").select("of", "total", F.array(*(F.col(f"m_{x}") / GRID for x in _X)).alias("mean"), inv.alias("inv")), "estimates")
     place = F.least(F.floor(F.log2(1 + _distance()) * (BINS / 16)), F.lit(BINS - 1)).cast("int")
     nearer = Window.partitionBy("of").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most BINS rows
-    before = None
     for _ in range(STEPS):
         bins = points.join(now, "of").groupBy("of", "total", place.alias("bin")).agg(*_moments())
         near = bins.withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))).where(F.col("before") < F.ceil(SHARE * F.col("total")))
         sums = [c for c in near.columns if c not in ("of", "total", "bin", "before")]
         moments = stage(near.groupBy("of", "total").agg(*(F.sum(c).alias(c) for c in sums)), "moments")
         now = stage(solve(moments, factor), "estimates")
-        after = moments.agg(F.sum(F.xxhash64(*moments.columns).cast("decimal(20,0)"))).first()
-        if after == before:
-            break
-        before = after
     return now
 
 

@@ -217,11 +217,7 @@ def plain_mcd(x):
         place = np.minimum(np.floor(np.log2(1 + d) * (quality_rules.BINS / 16)), quality_rules.BINS - 1)
         cut = np.sort(place)[math.ceil(quality_rules.SHARE * len(x)) - 1]
         near = x[place <= cut]
-        after = near.mean(0), np.linalg.inv(factor * (near.T @ near / len(near) - np.outer(near.mean(0), near.mean(0))) + np.diag(floors))
-        same = np.array_equal(after[0], mean)
-        mean, inv = after
-        if same:
-            break
+        mean, inv = near.mean(0), np.linalg.inv(factor * (near.T @ near / len(near) - np.outer(near.mean(0), near.mean(0))) + np.diag(floors))
     return mean, inv
 
 
