@@ -19,8 +19,10 @@ from careerpanel.sources.staging import stage
 #: Documents that a search returns for each item.
 TOP = 50
 #: Cells of a sketch for each distinct term, and the largest sketch (2 to this power); a fuller sketch only
-#: bounds less closely.
-ROOM, LARGEST = 8, 20
+#: bounds less closely. SHIFTS takes a term's cells out of its hash.
+ROOM, LARGEST, SHIFTS = 16, 20, (0, 21, 42)
+#: Rows of highest bound, for each row of the result, that are scored first to find a threshold.
+FIRST = 4
 #: Distinct (item, term) pairs that are looked up at once; more items go in further passes.
 BLOCK = 20_000
 #: Terms whose hashes a task keeps, cells that it works on at once, and what rounding may take from a bound.
@@ -39,7 +41,7 @@ def terms(text: str) -> list[bytes]:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, level, sketch) of every row: number of terms, and a sketch of 2 ** level bytes.
 
-    Each distinct term falls on two cells by its hash; a cell keeps the maximum of what falls on it. What is
+    Each distinct term falls on three cells by its hash; a cell keeps the maximum of what falls on it. What is
     folded is a term's tf (255 for more): a document's impacts grow with tf, so the maximum of tf gives the
     maximum of impacts for any collection that the document is searched in. Rows without terms have none.
     """
@@ -74,9 +76,17 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_slices(docs.select(id_col, text_col), start, f"id {kind}, n bigint, level int, sketch binary", rows=200)
 
 
-def _cells(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+def _cells(hashes: np.ndarray, level: int) -> list[np.ndarray]:
     mask = np.uint64((1 << level) - 1)
-    return (hashes & mask).astype(np.int64), (hashes >> np.uint64(32) & mask).astype(np.int64)
+    return [(hashes >> np.uint64(s) & mask).astype(np.int64) for s in SHIFTS]
+
+
+def looked_up(sketches: np.ndarray, hashes: np.ndarray, level: int) -> np.ndarray:
+    """For each sketch (a row) the least cell of each term: no less than the term's tf, 255 standing for more."""
+    out = None
+    for cells in _cells(hashes, level):
+        out = sketches[:, cells] if out is None else np.minimum(out, sketches[:, cells])
+    return out
 
 
 @dataclass
@@ -133,12 +143,11 @@ def _bounds(index: DataFrame, block: Block, fn, schema: str) -> DataFrame:
             n, levels = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for level in np.unique(levels[n > 0]):
                 mine = np.flatnonzero((levels == level) & (n > 0))
-                first, second = _cells(hashes, int(level))
                 many = max(1, CELLS // max(len(hashes), 1 << int(level)))
                 for at in range(0, len(mine), many):
                     some = mine[at : at + many]
                     sketch = np.frombuffer(b"".join(batch.column(3).take(pa.array(some)).to_pylist()), np.uint8).reshape(len(some), -1)
-                    tf = np.minimum(sketch[:, first], sketch[:, second])
+                    tf = looked_up(sketch, hashes, int(level))
                     m = block.norm(n[some]).astype(np.float32)[:, None]
                     impact = tf * np.float32(IMPACT) / (tf * np.float32(TF) + LENGTH * m)
                     impact[tf == 255] = IMPACT / TF
@@ -235,9 +244,9 @@ def search(
     scores by ascending id (null last).
 
     ``index`` is that of ``build_index``, written once for many searches; without it, it is built. Sketches
-    bound all scores from above. The rows with the ``top`` highest bounds are scored exactly; their least score
-    is a threshold, and then all rows whose bound reaches it are scored. So nothing that belongs in the
-    result is missed. Items go in blocks of about BLOCK terms, each in passes over index and texts; tasks get
+    bound all scores from above. The FIRST * ``top`` rows of highest bound are scored exactly; the ``top``-th of
+    these scores is a threshold, and then all rows whose bound reaches it are scored. So nothing that belongs
+    in the result is missed. Items go in blocks of about BLOCK terms, each in passes over index and texts; tasks get
     a block's items alone, and no document is sent to the driver.
 
     Null and empty texts and items match nothing. Rows that repeat are ranked each; items of equal id and
@@ -279,9 +288,9 @@ def _block(docs: DataFrame, index: DataFrame, rows: list[dict], size, top: int,
     kind = docs.schema[id_col].dataType.simpleString()
     arrow = index.select("id").limit(0).toArrow().schema.field(0).type
 
-    best = _bounds(index, block, lambda: _Best(queries, arrow, top), f"q bigint, id {kind}, bound double")
+    best = _bounds(index, block, lambda: _Best(queries, arrow, FIRST * top), f"q bigint, id {kind}, bound double")
     w = Window.partitionBy("q").orderBy(F.desc("bound"), "id")
-    first = best.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select("q", "id")
+    first = best.withColumn("place", F.row_number().over(w)).where(F.col("place") <= FIRST * top).select("q", "id")
     known = _ranked(_exact(docs, first, block, id_col, text_col), top).groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     least = {r["q"]: r["least"] for r in known.collect() if r["n"] >= top}  # one row per item of the block
     floors = np.array([least.get(q, 1) for q in queries], np.float32)

@@ -180,12 +180,10 @@ def test_bounds_hold_and_cut(spark):
             sketch = np.frombuffer(row.sketch, np.uint8)
             names = list(texts[row.id])
             h = np.array([lexical.xxhash.xxh3_64_intdigest(t) for t in names], np.uint64)
-            first, second = lexical._cells(h, row.level)
-            bound = np.minimum(sketch[first], sketch[second])
+            bound = lexical.looked_up(sketch[None, :], h, row.level)[0]
             assert (bound >= np.minimum([texts[row.id][t] for t in names], 255)).all()
             other = np.random.default_rng(0).integers(0, 1 << 63, 2000, dtype=np.uint64)
-            first, second = lexical._cells(other, row.level)
-            assert (np.minimum(sketch[first], sketch[second]) > 0).mean() < 0.12
+            assert (lexical.looked_up(sketch[None, :], other, row.level) > 0).mean() < 0.03
 
 
 # --- quality rules
