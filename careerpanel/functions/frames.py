@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+#: The slice of a heavy person's row.
+SLICE = "_slice"
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BEFORE = (Window.unboundedPreceding, -1)
 ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -42,7 +44,7 @@ def pack(df: DataFrame, keep: Iterable[str]) -> DataFrame:
     A row of few columns moves through a chain of sorts and windows as one copy of bytes; code
     generated for a very wide row exceeds what the JVM compiles and runs many times slower.
     """
-    keep = [c for c in df.columns if c in set(keep)]
+    keep = [c for c in df.columns if c in {*keep, SLICE}]
     rest = [c for c in df.columns if c not in keep]
     return df.select(*keep, F.struct(*rest).alias("_rest")) if rest else df
 

@@ -4,73 +4,72 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-BINS = 4096
-SMALL = 10_000
+from careerpanel.sources.staging import stage
 
-
-def _kth(values: DataFrame, k: int, low: float, high: float, n: int) -> float:
-    """The ``k``-th smallest value (from 0) of ``n`` values in [low, high], all of which it sees.
-
-    Each pass counts the values per bin (at most ``BINS`` groups, combined on the map side) and
-    goes on in the bin that holds the rank. It stops when few values are left or all are equal.
-    """
-    x = F.col("x")
-    while n > SMALL and low < high:
-        width = (high - low) / BINS
-        if width <= 0 or low + width == low:
-            break
-        place = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(BINS - 1))
-        counted = (
-            values.where(x.between(low, high))
-            .groupBy(place.alias("bin"))
-            .agg(F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"))
-            .orderBy("bin")
-            .collect()
-        )
-        for row in counted:
-            if k < row["n"]:
-                break
-            k -= row["n"]
-        if (low, high) == (row["low"], row["high"]):
-            break
-        low, high, n = row["low"], row["high"], row["n"]
-    if low == high:
-        return low
-    # few distinct values are left: equal ones are counted before anything is collected
-    rest = (
-        values.where(x.between(low, high)).groupBy("x").agg(F.count(x).alias("n")).orderBy("x")
-    )
-    for row in rest.toLocalIterator():
-        if k < row["n"]:
-            return row["x"]
-        k -= row["n"]
-    raise AssertionError("rank beyond the counted values")
+#: Size of the rank sketch, and the share of all ranks by which its answers may be off on either side, with room.
+SKETCH, OFF = 4096, 0.002
+#: Values that are counted one by one and handed to the driver.
+SMALL = 200_000
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    """Continuous quantile ``q`` of ``col`` with linear interpolation; nulls and NaN do not count."""
-    # one narrow column that every pass reads again
-    values = df.select(F.nanvl(F.col(col).cast("double"), F.lit(None)).alias("x")).persist()
-    try:
-        return _quantile(values, q)
-    finally:
-        values.unpersist()
+    """Continuous quantile ``q`` of ``col`` with linear interpolation; nulls and NaN do not count.
 
-
-def _quantile(values: DataFrame, q: float) -> float | None:
-    span = values.agg(
-        F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
-    ).first()
-    n = span["n"]
-    if n == 0:
+    The values are written once, and counted as they are. A mergeable sketch of ranks gives two bounds
+    between which both wanted ranks lie; one more pass counts what is below them and each value between
+    them. So a table of up to SMALL / OFF values takes two jobs beside the written column; a larger one
+    takes a sketch of the values between the bounds before, and so on. The answer is exact: if the sketch
+    is ever off by more than OFF, the bounds are widened.
+    """
+    seen = Observation()
+    values = df.select(F.nanvl(F.col(col).cast("double"), F.lit(None)).alias("x")).where("x IS NOT NULL")
+    values = values.observe(seen, F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    values = stage(values, "values")
+    n, low, high = (seen.get[c] for c in ("n", "low", "high"))
+    if not n:
         return None
     place = q * (n - 1)
     k = math.floor(place)
-    lower = _kth(values, k, span["low"], span["high"], n)
-    if place == k:
-        return lower
-    upper = _kth(values, k + 1, span["low"], span["high"], n)
-    return lower + (place - k) * (upper - lower)
+    lower, upper = _ranks(values, k, min(k + 1, n - 1), low, high, n)
+    return lower if place == k else lower + (place - k) * (upper - lower)
+
+
+def _ranks(values: DataFrame, first: int, second: int, low: float, high: float, n: int) -> tuple[float, float]:
+    """The values of ranks ``first`` and ``second`` (from 0) of all ``values``; they lie in [low, high], as do ``n`` values."""
+    x, below, off = F.col("x"), 0, OFF
+    while low < high and n > SMALL:
+        ranks = [max(0.0, (first - below) / n - off), min(1.0, (second - below) / n + off)]
+        sketch = values.where(x.between(low, high)).agg(F.kll_sketch_agg_double("x", SKETCH).alias("s"))
+        bounds = [F.kll_sketch_get_quantile_double("s", F.lit(r)) for r in ranks]
+        a, b = sketch.select(*(c.alias(name) for c, name in zip(bounds, "ab", strict=True))).first()
+        a, b = (low if ranks[0] == 0 else a), (high if ranks[1] == 1 else b)
+        if 2 * off * n <= SMALL or (a, b) == (low, high):
+            if found := _between(values, first, second, a, b):
+                return found
+        else:
+            less, inside = values.agg(F.count_if(x < a), F.count_if(x.between(a, b))).first()
+            if less <= first and second < less + inside:
+                low, high, below, n = a, b, less, inside
+                continue
+        off *= 4
+    return (low, low) if low == high else _between(values, first, second, low, high)
+
+
+def _between(values: DataFrame, first: int, second: int, low: float, high: float) -> tuple[float, float] | None:
+    """The values of both ranks, if they lie in [low, high]: one row per distinct value, and one for all below."""
+    place = F.when(F.col("x") >= low, F.col("x"))
+    counts = values.where(F.col("x") <= high).groupBy(place.alias("x")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_first("x"))
+    at, found = 0, []
+    for row in counts.toLocalIterator():
+        for rank in (first, second)[len(found) :]:
+            if at <= rank < at + row["n"]:
+                if row["x"] is None:
+                    return None
+                found.append(row["x"])
+        at += row["n"]
+        if len(found) == 2:
+            return found[0], found[1]
+    return None

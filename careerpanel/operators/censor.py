@@ -152,21 +152,21 @@ def imputation_plan(df: DataFrame) -> DataFrame:
     )
 
 
-def cap_wage(
+def wage_bound(
     df: DataFrame, q: float = 0.99, factor: float = 10.0, compat: bool = False
-) -> DataFrame:
-    """C14: ``wage_imp`` in levels, bounded at ``factor`` times its ``q`` quantile.
+) -> float | None:
+    """C14: ``factor`` times the exact ``q`` quantile of imputed wages (of their log if ``compat``); None without any."""
+    value = exact_quantile(df.select((F.col("ln_wage_imp") if compat else F.exp("ln_wage_imp")).alias("x")), "x", q)
+    return None if value is None else factor * value
 
-    ``compat`` bounds the log wage by ``factor`` times the quantile of the log wage and leaves
-    ``wage_imp`` as it is. The quantile is exact and found by narrowing counts.
-    """
+
+def bound_wage(df: DataFrame, bound: float | None, compat: bool = False) -> DataFrame:
+    """C14: ``wage_imp`` in levels, no larger than ``bound``; with ``compat`` the log wage is bounded instead and
+    ``wage_imp`` stays as it is."""
     df = df.withColumn("wage_imp", F.exp("ln_wage_imp"))
-    col = "ln_wage_imp" if compat else "wage_imp"
-    value = exact_quantile(df, col, q)
-    if value is None:
+    if bound is None:
         return df
-    bound = factor * value
-    over = F.col(col) > bound
+    over = F.col("ln_wage_imp" if compat else "wage_imp") > bound
     if compat:
         return df.withColumn("ln_wage_imp", F.when(over, bound).otherwise(F.col("ln_wage_imp")))
     return df.withColumns(
@@ -177,6 +177,17 @@ def cap_wage(
     )
 
 
+def cap_wage(
+    df: DataFrame, q: float = 0.99, factor: float = 10.0, compat: bool = False
+) -> DataFrame:
+    """C14: ``wage_imp`` in levels, bounded at ``factor`` times its ``q`` quantile.
+
+    ``compat`` bounds the log wage by ``factor`` times the quantile of the log wage and leaves
+    ``wage_imp`` as it is. The quantile is exact; it is found when this is called.
+    """
+    return bound_wage(df, wage_bound(df, q, factor, compat), compat)
+
+
 def drop_helpers(df: DataFrame) -> DataFrame:
     """Without the columns that only the imputation needs."""
     return df.drop(*HELPERS, "educ_tmp")

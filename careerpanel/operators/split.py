@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from careerpanel.functions.carry import carry
 from careerpanel.functions.frames import BEFORE, ordered
+from careerpanel.functions.metrics import Metrics
 from careerpanel.functions.people import PersonStep, with_block
 
 
@@ -37,6 +38,16 @@ def span_report(df: DataFrame) -> DataFrame:
     )
 
 
+def years_touched() -> Column:
+    """The number of rows that an episode is split into."""
+    return F.greatest(F.coalesce(F.year("endepi") - F.year("begepi") + 1, F.lit(0)), F.lit(0))
+
+
+def watch_episodes(df: DataFrame, metrics: Metrics) -> DataFrame:
+    """E4 on the way: ``metrics`` counts the episodes and those that the split is going to drop."""
+    return metrics.watch(df, episodes=F.count(F.lit(1)), dropped=F.count_if(years_touched() == 0))
+
+
 def split_episodes(df: DataFrame, observation: Observation | None = None) -> DataFrame:
     """One row per calendar year that an episode touches, bounds cut to that year.
 
@@ -114,6 +125,12 @@ def counter_gaps(df: DataFrame) -> DataFrame:
     )
 
 
+def watch_counters(df: DataFrame, metrics: Metrics) -> DataFrame:
+    """E6 on the way: ``metrics`` counts the rows and those without a counter."""
+    missing = F.col("level1").isNull() | F.col("level2").isNull()
+    return metrics.watch(df, rows=F.count(F.lit(1)), counters_missing=F.count_if(missing))
+
+
 def check_counters(df: DataFrame) -> DataFrame:
     """E6 as an assertion: raises if a counter is missing, else hands the frame on."""
     missing = counter_gaps(df).first()["missing"]

@@ -3,8 +3,9 @@
 The model is fitted in Olsen's (1978) parameters delta = beta / sigma and theta = 1 / sigma, in
 which the log-likelihood is concave. Rows that share a cell and all regressors are collapsed first:
 uncensored ones to a count and two sums, censored ones to a count per limit. Uncensored points then
-enter only through moments, taken once. Each Newton step is one aggregation over the censored
-points. The cells' moments and points are a table, and each cell is solved where its row is.
+enter only through moments, taken once. The cells' moments are a table. A cell of ordinary size is placed with
+its censored points once and solved there to the end; a very large one is solved by steps, each of which is one
+aggregation over its points, wherever they lie.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from careerpanel.functions import normal
 from careerpanel.functions.frames import left_null_safe
+from careerpanel.functions.metrics import Metrics
 from careerpanel.operators.censor import CELL
 from careerpanel.sources.staging import stage
 
@@ -28,6 +30,8 @@ KEY = ["persnr", "spell", "begepi"]
 MAX_STEPS = 60
 TOLERANCE = 1e-6
 FAR = 30
+#: Censored points of a cell that a task takes at once; cells with more are solved by sums over tasks.
+CELL_POINTS = 1_000_000
 BELOW = 1e-9
 
 
@@ -80,6 +84,7 @@ def design_moments(
     return points.groupBy(*cells).agg(
         total(F.col("n")).alias("n_free"),
         F.sum(F.when(~free, F.col("n")).otherwise(0.0)).alias("n_cens"),
+        F.count_if(~free).alias("n_points"),
         *[total(F.col("n") * xs[i] * xs[j]).alias(f"xx_{i}_{j}") for i, j in _pairs(len(xs))],
         *[total(F.col("sy") * c).alias(f"xy_{i}") for i, c in enumerate(xs)],
         total(F.col("syy")).alias("yy"),
@@ -127,9 +132,21 @@ def censored_sums(points: DataFrame, params: DataFrame, x: list[str]) -> DataFra
 
 #: What a cell carries from step to step, besides its moments; vectors are in scaled coordinates, but for
 #: ``delta`` and ``theta``, which are those of the trial point, or of the maximum once it is found.
+_VECTOR = T.ArrayType(T.DoubleType())
 STATE = (
-    "keep array<int>, scale array<double>, at array<double>, ll double, step array<double>, trial array<double>,"
-    " steps int, slope double, status string, delta array<double>, theta double, sums array<double>"
+    T.StructType()
+    .add("keep", T.ArrayType(T.IntegerType()))
+    .add("scale", _VECTOR)
+    .add("at", _VECTOR)
+    .add("ll", T.DoubleType())
+    .add("step", _VECTOR)
+    .add("trial", _VECTOR)
+    .add("steps", T.IntegerType())
+    .add("slope", T.DoubleType())
+    .add("status", T.StringType())
+    .add("delta", _VECTOR)
+    .add("theta", T.DoubleType())
+    .add("sums", _VECTOR)
 )
 
 
@@ -247,6 +264,24 @@ class _Cell:
         self.trial = self.at + self.step
 
 
+def _solve(cells: pa.Table, points: pa.Table) -> pa.Table:
+    """Newton's method on one cell with all of its censored points."""
+    rows = cells.to_pylist()
+    for row in rows:
+        cell = _Cell(row)
+        n, c = points["n"].to_numpy(), points["c"].to_numpy()
+        aug = np.column_stack([np.ones(len(n)), *(points[name].to_numpy() for name in points.column_names[1:-2]), -c])
+        places = np.triu_indices(aug.shape[1])
+        while cell.status == "open":
+            at = cell.state()
+            z = aug @ np.append(at["delta"], at["theta"])
+            log_tail, lam = normal.tail_of_batch(z)
+            second = (aug * (n * lam * (lam + z))[:, None]).T @ aug
+            cell.update([n @ log_tail, *((n * lam) @ aug), *second[places]] if len(n) else None)
+        row.update(cell.state())
+    return pa.Table.from_pylist(rows, schema=cells.schema)
+
+
 def _begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _each_cell(batches, lambda cell, row: cell.start())
 
@@ -270,41 +305,50 @@ def fit_censored(
     y: str = "ln_wage",
     cens: str = "cens",
     x: list[str] = REGRESSORS,
+    metrics: Metrics | None = None,
+    cell_points: int = CELL_POINTS,
 ) -> DataFrame:
     """The regression of ``y`` on ``x`` per cell, right-censored where ``cens`` is 1.
 
     Returns one row per cell with ``beta`` (intercept first, 0 for dropped columns), ``sigma``
     and diagnostics; both are null where a cell has no fit, and ``status`` says why. Null is a cell key
-    like any other. The cells are a table, one row each, and every step writes those still open, so there
-    may be any number of them; the driver sees how many are open, and no more.
+    like any other. The cells are a table, one row each, so there may be any number of them. Those with up to
+    ``cell_points`` censored points meet their points in one task each and are solved to the end there: the number
+    of jobs doesn't depend on the number of steps. Each step over larger cells sums up over all tasks and
+    writes those still open; the driver sees how many are open, and no more. ``metrics`` counts
+    ``cells`` and, of these, ``cells_fitted``.
     """
     points = stage(design_points(df, cells, y, cens, x), "points")
     pairs = _pairs(len(x) + 1)
     state = design_moments(points, cells, x).select(
-        F.monotonically_increasing_id().alias("_cell"), *cells, "n_free", "n_cens", "yy",
+        F.monotonically_increasing_id().alias("_cell"), *cells, "n_free", "n_cens", "n_points", "yy",
         F.array(*[f"xx_{i}_{j}" for i, j in pairs]).alias("xx"),
         F.array(*[f"xy_{i}" for i in range(len(x) + 1)]).alias("xy"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in T._parse_datatype_string(STATE)],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in STATE],
     )
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema])
     state = stage(state.mapInArrow(_begin, schema), "cells")
-    own = left_null_safe(points.where(F.col("cens") == 1), state.select(*cells, "_cell"), cells)
-    censored = stage(own.select("_cell", *x, "c", "n"), "censored")
-    ended = []
-    is_open = F.col("status") == "open"
-    while True:
-        n_open, n_ended = state.agg(F.count_if(is_open), F.count_if(~is_open)).first()
-        if n_ended:
-            ended.append(state.where(~is_open))
-        if not n_open:
-            break
-        state = state.where(is_open).drop("sums")
+    is_open, large = F.col("status") == "open", F.col("n_points") > cell_points
+    own = left_null_safe(points.where(F.col("cens") == 1), state.where(is_open).select(*cells, "_cell", large.alias("_large")), cells)
+    own = own.where(F.col("_cell").isNotNull())
+    small = own.where(~F.col("_large")).select(F.col("_cell").alias("_own"), *x, "c", "n").groupBy("_own")
+    solved = state.where(is_open & ~large).groupBy("_cell").cogroup(small).applyInArrow(_solve, schema)
+    ended = [state.where(~is_open), stage(solved, "solved")]
+    state = state.where(is_open & large)
+    n_open = state.count()
+    if n_open:
+        censored = stage(own.where("_large").select("_cell", *x, "c", "n"), "censored")
+    while n_open:
+        state = state.drop("sums")
         sums = censored_sums(censored, state, x)
         state = state.join(sums, "_cell", "left").select(*schema.names)
         state = stage(state.mapInArrow(_advance, schema), "cells")
+        ended.append(state.where(~is_open))
+        state = state.where(is_open)
+        n_open = state.count()
     found = F.col("status") == "ok"
     theta = F.col("theta")
-    out = reduce(DataFrame.unionByName, ended or [state]).select(
+    out = reduce(DataFrame.unionByName, ended).select(
         *cells,
         *[F.col(c).cast("long").alias(c) for c in ("n_free", "n_cens")],
         "status",
@@ -315,6 +359,8 @@ def fit_censored(
         F.when(found, F.col("ll")).alias("loglik"),
         F.when(found, F.col("slope")).alias("decrement"),
     )
+    if metrics is not None:
+        out = metrics.watch(out, cells=F.count(F.lit(1)), cells_fitted=F.count_if(F.col("status") == "ok"))
     return stage(out, "fits")
 
 
@@ -382,6 +428,18 @@ def draws_below(df: DataFrame, tolerance: float = BELOW) -> DataFrame:
     )
 
 
+def watch_draws(df: DataFrame, metrics: Metrics, x: list[str] = REGRESSORS, tolerance: float = BELOW) -> DataFrame:
+    """C11, C12 on the way: ``metrics`` counts the draws, those below the observed wage, and the rows in
+    employment that stay without an imputed wage."""
+    censored = in_sample(x) & (F.col("cens") == 1) & F.col("ln_wage_imp").isNotNull()
+    return metrics.watch(
+        df,
+        draws=F.count_if(censored),
+        draws_below=F.count_if(F.col("ln_wage_imp") < F.col("ln_wage") - tolerance),
+        outside=F.count_if((F.col("quelle_gr") == 1) & F.col("ln_wage_imp").isNull()),
+    )
+
+
 def places_in_tail(drawn: DataFrame, fits: DataFrame, cells: list[str] = CELL, x: list[str] = REGRESSORS) -> DataFrame:
     """Censored rows of the sample and ``place``: the share of the fitted tail above the limit that lies beyond
     the draw, null without a fit. If fit and draw are right, it is the uniform number that the draw was made of."""

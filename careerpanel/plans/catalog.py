@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from careerpanel.functions.people import People
 from careerpanel.operators import biography, censor, enrich, panel, split, tobit
+from careerpanel.operators.reports import AXES, SETS, report_counts
 from careerpanel.plans import pipeline
 from careerpanel.plans.adapter import episode_people, episodes
+from careerpanel.plans.incremental import PanelStore
 from careerpanel.plans.oracle import with_clause
 from careerpanel.schema import check_key, conform
 from careerpanel.sources import ingest
@@ -27,6 +29,7 @@ from careerpanel.sources.lookups import (
     values_sql,
 )
 from careerpanel.sources.staging import fresh_path, stage
+from careerpanel.sources.store import EpisodeStore, open_bucketed
 
 BATCH = 1000
 JOB_DAYS = ["tage_erw", "tage_bet", "tage_job"]
@@ -152,6 +155,37 @@ def _s3_append(spark, sf_dir) -> DataFrame:
     )
 
 
+def _s3_append_twice(spark, sf_dir) -> DataFrame:
+    """The first batches, then all, then all again."""
+    store = EpisodeStore(spark, fresh_path(spark, "store"))
+    rows = stage(ingest.assign_batches(episodes(spark, sf_dir), BATCH), "assigned")
+    for part in (rows.where("pn_batch <= 2"), rows, rows):
+        store.append(part)
+    return store.read().groupBy("pn_batch").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("persnr").alias("persons")
+    )
+
+
+def _s3_refresh(spark, sf_dir) -> DataFrame:
+    """The panel after two deliveries: most persons' first episodes, then the rest and new persons."""
+    store = PanelStore(spark, fresh_path(spark, "panel-store"), BATCH)
+    rows = stage(episodes(spark, sf_dir), "episodes")
+    early = (F.col("persnr") % 5 != 0) & ((F.col("persnr") % 3 != 0) | (F.col("spell") <= 4))
+    for load, part in (("1", rows.where(early)), ("2", rows.where(~early))):
+        store.deliver(part, load)
+        store.refresh(reports=False)
+    return _single_jobs(store.panel())
+
+
+def _s5_bucketed(spark, sf_dir) -> DataFrame:
+    """Years and employment days of each person from the stored table, which is dealt by person."""
+    path = fresh_path(spark, "panel")
+    pipeline.store_panel(episodes(spark, sf_dir), path, reports=False)
+    return open_bucketed(spark, path).groupBy("persnr").agg(
+        F.countDistinct("year").alias("years"), F.sum("tage_lst").alias("tage_lst"), F.max("nspell").alias("last_spell")
+    )
+
+
 def _s4_lookup(spark, sf_dir) -> DataFrame:
     path = fresh_path(spark, "lookup")
     rows, names = LOOKUP_ROWS["ceiling"]
@@ -203,9 +237,26 @@ def _panel(spark, sf_dir, **options) -> DataFrame:
     return pipeline.prepare_panel(episodes(spark, sf_dir), **options)
 
 
-def _panel_of_single_jobs(spark, sf_dir) -> DataFrame:
+def _single_jobs(panel: DataFrame) -> DataFrame:
     single = F.col("parallel_jobs") <= 1
-    return _panel(spark, sf_dir).withColumns({c: F.when(single, F.col(c)) for c in JOB_DAYS})
+    return panel.withColumns({c: F.when(single, F.col(c)) for c in JOB_DAYS})
+
+
+def _panel_of_single_jobs(spark, sf_dir) -> DataFrame:
+    return _single_jobs(_panel(spark, sf_dir))
+
+
+def _f1_reports(spark, sf_dir) -> DataFrame:
+    rows = stage(censor.flag_censored(_enriched(spark, sf_dir)), "flagged")
+    return report_counts(rows)
+
+
+def _f1_numbers(spark, sf_dir) -> DataFrame:
+    """What a run counts on the way, as one row."""
+    run = pipeline.run_panel(episodes(spark, sf_dir), reports=False)
+    stage(run.panel, "panel")
+    numbers = run.numbers()
+    return spark.createDataFrame([tuple(numbers.values())], ", ".join(f"{n} bigint" for n in numbers))
 
 
 def _s5_store(spark, sf_dir) -> DataFrame:
@@ -224,6 +275,10 @@ EPISODE = (
 SPLIT = "i:persnr i:spell begepi endepi begepi_orig endepi_orig i:year i:age"
 MAIN = "i:persnr i:nspell begepi endepi i:quelle_gr i:year"
 REPORTED = "quelle_gr = 1 AND cens IS NOT NULL"
+SINGLE = (
+    MAIN + " ein_erw i:tage_erw i:tage_bet i:tage_job i:anz_lst i:tage_lst i:parallel_jobs"
+    " r6:parallel_wage i:parallel_benefits i:year_days_emp i:year_days_benefits"
+)
 
 
 def _ambiguous(table: str, target: str) -> str:
@@ -234,6 +289,12 @@ def _ambiguous(table: str, target: str) -> str:
   JOIN (SELECT beruf_gr, count(*) AS n_episodes FROM ep GROUP BY beruf_gr) USING (beruf_gr)"""
 
 
+SINGLE_SQL = _from(
+    "cut",
+    "SELECT * REPLACE ("
+    + ", ".join(f"CASE WHEN parallel_jobs <= 1 THEN {c} END AS {c}" for c in JOB_DAYS)
+    + ") FROM cut",
+)
 RUNNING_ROWS = f"""
   SELECT persnr, n, a AS last_row, CAST(floor(a / {BATCH}) + 1 AS BIGINT) AS pn_batch
   FROM (SELECT persnr, n, sum(n) OVER (ORDER BY persnr ROWS UNBOUNDED PRECEDING) AS a
@@ -261,6 +322,12 @@ QUERIES: dict[str, Query] = {
         _from("ep", f"SELECT pn_batch, sum(n) AS n, count(*) AS persons FROM ({RUNNING_ROWS})"
                     " GROUP BY pn_batch"),
     ),
+    "s3_append_twice": Query(
+        _s3_append_twice,
+        "i:pn_batch i:n i:persons",
+        _from("ep", f"SELECT pn_batch, sum(n) AS n, count(*) AS persons FROM ({RUNNING_ROWS})"
+                    " GROUP BY pn_batch"),
+    ),
     "s4_lookup": Query(
         _s4_lookup,
         "i:year i:east r6:limit_assess i:n",
@@ -277,6 +344,12 @@ QUERIES: dict[str, Query] = {
         MAIN + " ein_erw i:anz_lst i:tage_lst i:parallel_jobs r6:parallel_wage i:year_days_emp i:year_days_benefits",
         _from("cut"),
     ),
+    "s5_bucketed": Query(
+        _s5_bucketed,
+        "i:persnr i:years i:tage_lst i:last_spell",
+        _from("cut", "SELECT persnr, count(DISTINCT year) AS years, sum(tage_lst) AS tage_lst, max(nspell) AS last_spell"
+                     " FROM cut GROUP BY persnr"),
+    ),
     # episodes
     "e1_year_age": Query(
         lambda s, d: split.add_year_age(episodes(s, d)),
@@ -598,13 +671,30 @@ QUERIES: dict[str, Query] = {
     ),
     # the whole job; columns that do not depend on a draw have an exact oracle. Which of several
     # parallel jobs is the main one does, so job columns are compared where there is one job.
-    "f1_panel": Query(
-        _panel_of_single_jobs,
-        MAIN + " ein_erw i:tage_erw i:tage_bet i:tage_job i:anz_lst i:tage_lst i:parallel_jobs"
-        " r6:parallel_wage i:parallel_benefits i:year_days_emp i:year_days_benefits",
-        _from("cut", "SELECT * REPLACE ("
-              + ", ".join(f"CASE WHEN parallel_jobs <= 1 THEN {c} END AS {c}" for c in JOB_DAYS)
-              + ") FROM cut"),
+    "f1_panel": Query(_panel_of_single_jobs, SINGLE, SINGLE_SQL),
+    "s3_refresh": Query(_s3_refresh, SINGLE, SINGLE_SQL),
+    "f1_numbers": Query(
+        _f1_numbers,
+        "i:episodes i:dropped i:rows i:counters_missing i:cells i:draws i:draws_below i:outside i:panel_rows",
+        _from("cut", f"""
+  SELECT (SELECT count(*) FROM ep) AS episodes,
+         (SELECT count(*) FROM ep WHERE coalesce(endepi < begepi, TRUE)) AS dropped,
+         (SELECT count(*) FROM lev) AS rows, (SELECT count(*) - count(level1 + level2) FROM lev) AS counters_missing,
+         (SELECT count(*) FROM (SELECT DISTINCT year, educ_tmp, east FROM cen WHERE {SAMPLE})) AS cells,
+         (SELECT count(*) FROM cen WHERE {SAMPLE} AND cens = 1) AS draws, 0 AS draws_below,
+         (SELECT count(*) FROM cen WHERE quelle_gr = 1 AND NOT coalesce({SAMPLE}, FALSE)) AS outside,
+         (SELECT count(*) FROM cut) AS panel_rows"""),
+    ),
+    "f1_reports": Query(
+        _f1_reports,
+        f"i:set {' '.join(a if a == 'age_category' else f'i:{a}' for a in AXES)} i:n i:episodes i:cens0 i:cens1",
+        _from("cen", f"""
+  SELECT grouping_id({', '.join(AXES)}) AS set, {', '.join(AXES)}, count(*) AS n, count(*) FILTER (first) AS episodes,
+         count(*) FILTER (quelle_gr = 1 AND cens = 0) AS cens0, count(*) FILTER (quelle_gr = 1 AND cens = 1) AS cens1
+  FROM (SELECT *, year(endepi_orig) - year(begepi_orig) + 1 AS span_year, year = year(begepi_orig) AS first,
+               CASE WHEN age BETWEEN 18 AND 24 THEN '18 to 25' WHEN age BETWEEN 25 AND 60
+                    THEN least(age // 5, 11) * 5 || ' to ' || least(age // 5, 11) * 5 + 5 END AS age_category FROM cen)
+  GROUP BY GROUPING SETS ({', '.join(f"({', '.join(axes)})" for axes in SETS)})"""),
     ),
     "f1_panel_full": Query(
         _panel,

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from careerpanel.functions.frames import BEFORE, SO_FAR
-from careerpanel.functions.people import ROW_LIMIT, heavy_persons, split_heavy
 from careerpanel.schema import EPISODES, check_key, conform
-from careerpanel.sources.staging import shared_folder
+from careerpanel.sources.staging import stage
 
 BATCH_SIZE = 3_000_000
 
@@ -22,65 +21,68 @@ def read_episodes(spark: SparkSession, path: str, format: str = "parquet", check
     return check_key(df) if check else df
 
 
-def person_batches(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
-    """Rows per person, the running row number in the order of ``persnr`` and the batch.
+def _ranged(df: DataFrame, placed: int | None) -> tuple[DataFrame, DataFrame]:
+    """The rows in order of (``persnr``, ``spell``), dealt by range and written, with ``_part`` and ``_at``, the
+    place in the part from 0; and per part its number of rows. The input is read for the sampled bounds and once more.
 
-    A batch has about ``size`` rows and never splits a person. The running sum takes two steps:
-    persons are ranged over partitions, the few partition totals are summed up, and each
-    partition adds its own running sum. Ranges are sampled, so they are fixed by a checkpoint.
-    A row without a person belongs to no batch: it raises.
+    A range ends anywhere between two rows, so a heavy person takes as many parts as its rows fill.
     """
-    shared_folder(df.sparkSession)
     person = F.coalesce("persnr", F.raise_error(F.lit("a row has no persnr")).cast("long"))
-    counts = df.groupBy("persnr").agg(F.count(F.lit(1)).alias("n")).withColumn("persnr", person)
-    ranged = (
-        counts.repartitionByRange("persnr")
-        .withColumn("part", F.spark_partition_id())
-        .checkpoint()
-    )
-    # one row per partition
-    totals = ranged.groupBy("part").agg(F.sum("n").alias("total"))
-    before = F.sum("total").over(Window.orderBy("part").rowsBetween(*BEFORE))
-    offsets = totals.select("part", F.coalesce(before, F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("part").orderBy("persnr").rowsBetween(*SO_FAR)
-    return (
-        ranged.join(F.broadcast(offsets), "part")
-        .withColumn("last_row", F.col("offset") + F.sum("n").over(inside))
-        .select(
-            "persnr",
-            "n",
-            "last_row",
-            (F.floor(F.col("last_row") / size) + 1).cast("long").alias("pn_batch"),
-        )
-    )
+    keys = [F.col("persnr"), F.col("spell")]
+    df = df.drop("pn_batch").withColumn("persnr", person)
+    ranged = df.repartitionByRange(*([placed] if placed else []), *keys).sortWithinPartitions(*keys)
+    number = F.monotonically_increasing_id()
+    places = {"_part": F.shiftright(number, 33).cast("int"), "_at": number.bitwiseAND((1 << 33) - 1)}
+    rows = stage(ranged.withColumns(places), "ranged")
+    return rows, rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.max("persnr").alias("last"))
 
 
-def batch_plan(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
-    """First and last row number of each batch."""
-    return (
-        person_batches(df, size)
-        .groupBy("pn_batch")
-        .agg(F.max("last_row").alias("max_row"), F.sum("n").alias("n_rows"))
-        .select("pn_batch", (F.col("max_row") - F.col("n_rows") + 1).alias("min_row"), "max_row")
-    )
+def _steps(rows: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """One row: for each part an array ``steps`` of (persnr, batch), see :func:`assign_batches`.
 
+    Everything here has a row per part or per batch.
+    """
+    before = F.sum("n").over(Window.orderBy("_part").rowsBetween(*BEFORE))
+    parts = stage(parts.withColumn("offset", F.coalesce(before, F.lit(0))), "parts")
+    number = F.col("offset") + F.col("_at") + 1
+    ends = rows.select("_part", "_at", "persnr").join(F.broadcast(parts.select("_part", "offset")), "_part").where(number % size == 0)
+    ends = stage(ends.select("_part", "persnr", (number / size).cast("long").alias("k")), "batch-ends")
+    # a person on whom several batches end belongs to the last of them
+    highest = ends.groupBy("persnr").agg(F.max("k").alias("k"))
+    inside = ends.select("_part", "persnr").distinct().join(highest, "persnr")
+    across = parts.join(highest, F.col("last") == F.col("persnr")).select("_part", "persnr", "k")
+    known = inside.select("_part", "persnr", "k").unionByName(across).groupBy("_part").agg(F.collect_set(F.struct("persnr", "k")).alias("steps"))
+    first = F.struct(F.lit(None).cast("long").alias("persnr"), F.floor(F.col("offset") / size).cast("long").alias("k"))
+    steps = F.concat(F.array(first), F.coalesce("steps", F.array().cast("array<struct<persnr:bigint,k:bigint>>")))
+    parts = parts.join(known, "_part", "left").select("_part", steps.alias("steps"))
+    # every part gets its place, those without rows too
+    all_parts = parts.agg(F.coalesce(F.max("_part"), F.lit(0)).alias("top")).select(F.explode(F.sequence(F.lit(0), "top")).alias("_part"))
+    placed = all_parts.join(parts, "_part", "left").agg(F.sort_array(F.collect_list(F.struct("_part", "steps"))).alias("parts"))
+    return placed.select(F.transform("parts", lambda p: p["steps"]).alias("steps"))
+
+
+def assign_batches(df: DataFrame, size: int = BATCH_SIZE, parts: int | None = None) -> DataFrame:
+    """The table with its batch number ``pn_batch``: 1 + floor(running row number of the person's last row / size).
+
+    A batch has about ``size`` rows and never splits a person. Rows are dealt by range of ``persnr``; each part's
+    number of rows is carried to the parts behind it as an offset. Batch k ends at the person in whose rows
+    the running number passes k * size; those few places are looked up, and a row's batch follows from its
+    part and its person alone, without counts by person and without a join. A row without a person belongs to
+    no batch: it raises. ``parts`` is the number of ranges, the session's by default.
+    """
+    rows, counted = _ranged(df, parts)
+    steps = stage(_steps(rows, counted, size), "steps").scalar()
+    reached = F.filter("_steps", lambda s: s["persnr"].isNull() | (s["persnr"] <= F.col("persnr")))
+    batch = F.array_max(F.transform(reached, lambda s: s["k"])) + 1
+    rows = rows.withColumn("_steps", F.element_at(steps, F.col("_part") + 1))
+    return rows.withColumn("pn_batch", batch).drop("_part", "_at", "_steps")
 
-def assign_batches(
-    df: DataFrame, size: int = BATCH_SIZE, row_limit: int = ROW_LIMIT
-) -> DataFrame:
-    """The table with its batch number ``pn_batch``.
 
-    Heavy persons' rows meet their batches in a join of their own, a small table that Spark sends to the
-    rows if its size allows.
-    """
-    df = df.drop("pn_batch")
-    batches = person_batches(df, size).select("persnr", "pn_batch")
-    heavy = heavy_persons(df, row_limit)
-    if heavy is None:
-        return df.join(batches, "persnr")
-    others, beside = split_heavy(df, heavy)
-    known = batches.join(heavy, "persnr", "left_semi")
-    return others.join(batches, "persnr").unionByName(beside.join(known, "persnr"))
+def batch_plan(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:
+    """First and last row number of each batch."""
+    counts = assign_batches(df.select("persnr", "spell"), size).groupBy("pn_batch").agg(F.count(F.lit(1)).alias("n"))
+    last = F.sum("n").over(Window.orderBy("pn_batch").rowsBetween(*SO_FAR))  # over one row per batch
+    return counts.withColumn("max_row", last).select("pn_batch", (F.col("max_row") - F.col("n") + 1).alias("min_row"), "max_row")
 
 
 def append_batches(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -3,10 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from careerpanel.functions.people import by_person, heavy_persons
+from careerpanel.functions.frames import SLICE
+from careerpanel.functions.people import by_person, heavy_persons, person_sizes
 from careerpanel.operators import biography, panel, split
 from careerpanel.plans.adapter import episode_people
-from careerpanel.plans.pipeline import prepare_panel
+from careerpanel.plans.pipeline import prepare_panel, prepare_people
+from careerpanel.sources.lookups import default_lookups
+from tests.helpers import episodes as hand
 from tests.helpers import rows_of
 
 
@@ -71,6 +74,38 @@ def test_panel_steps_spread_equals_whole(crowded):
         assert parts[0] == parts[1]
 
 
+@pytest.mark.parametrize("name", ["counters", "jobs", "benefits"])
+def test_sparse_spells_take_few_slices(crowded, name):
+    """Spells far apart: slices are cut by rank, so a person has one for each block of rows and one more."""
+    step, options = STEPS[name]
+    data = biography.add_flags(crowded) if name == "jobs" else crowded
+    data = data.withColumn("spell", F.col("spell") * 10**9)
+    people = by_person(data, row_limit=30, block=50)
+    sizes = people.heavy.groupBy("persnr", SLICE).count()
+    most = sizes.groupBy("persnr").agg(F.count("*").alias("slices"), F.sum("count").alias("rows"), F.max("count").alias("most"))
+    assert most.where("slices > rows / 50 + 2").isEmpty()
+    per_spell = data.groupBy("persnr", "spell").count().agg(F.max("count")).first()[0]
+    assert most.agg(F.max("most")).first()[0] <= 50 + per_spell
+    order = people.heavy.groupBy("persnr", SLICE).agg(F.min("spell").alias("low"), F.max("spell").alias("high"))
+    pairs = order.alias("a").join(order.alias("b"), F.expr(f"a.persnr = b.persnr AND a.{SLICE} < b.{SLICE} AND a.high >= b.low"))
+    assert pairs.isEmpty()
+    whole = step(by_person(data, row_limit=10**9), **options).merged()
+    assert rows_of(step(people, **options).merged()) == rows_of(whole)
+
+
+def test_persons_are_heavy_by_their_split_rows(spark):
+    """Two episodes of 40 years are 80 rows."""
+    rows = [{"persnr": 1, "spell": s, "begepi": "1960-01-01", "endepi": "1999-12-31", "ao_region": 1001} for s in (1, 2)]
+    rows += [{"persnr": 2, "spell": s, "begepi": f"1990-{s:02d}-01", "endepi": f"1990-{s:02d}-20", "ao_region": 1001} for s in range(1, 11)]
+    rows += [{"persnr": 3, "spell": 1, "begepi": "1990-05-01", "endepi": "1980-01-01"}, {"persnr": 3, "spell": 2}]
+    df = hand(spark, rows)
+    people = prepare_people(df, default_lookups(spark), row_limit=50, block=20)
+    assert [r.persnr for r in people.heavy.select("persnr").distinct().collect()] == [1]
+    assert people.heavy.count() == 80 and people.ordinary.count() == 10
+    assert rows_of(people.merged()) == rows_of(prepare_people(df, default_lookups(spark)).merged())
+    assert person_sizes(df, 50, rows=split.years_touched())[1] == 90
+
+
 def test_heavy_adapter_equals_ordinary(spark, sf_dir):
     ordinary = episode_people(spark, sf_dir)
     heavy = episode_people(spark, sf_dir, row_limit=12, block=40)
@@ -87,7 +122,7 @@ def test_any_number_of_persons_may_be_heavy(crowded):
     people = by_person(crowded, row_limit=0)
     assert people.ordinary.count() == 0
     assert people.heavy.count() == crowded.where("persnr is not null").count()
-    assert "LeftSemi" in people.heavy._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in people.ordinary._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_whole_job_with_heavy_persons(spark, sf_dir):
