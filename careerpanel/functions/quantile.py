@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -59,17 +60,11 @@ def _ranks(values: DataFrame, first: int, second: int, low: float, high: float,
 
 
 def _between(values: DataFrame, first: int, second: int, low: float, high: float) -> tuple[float, float] | None:
-    """The values of both ranks, if they lie in [low, high]: one row per distinct value, and one for all below."""
+    """The values of both ranks, if they lie in [low, high]: one row per distinct value (about SMALL at most, as
+    ``low`` and ``high`` were chosen), and one for all below."""
     place = F.when(F.col("x") >= low, F.col("x"))
-    counts = values.where(F.col("x") <= high).groupBy(place.alias("x")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_first("x"))
-    at, found = 0, []
-    for row in counts.toLocalIterator():
-        for rank in (first, second)[len(found) :]:
-            if at <= rank < at + row["n"]:
-                if row["x"] is None:
-                    return None
-                found.append(row["x"])
-        at += row["n"]
-        if len(found) == 2:
-            return found[0], found[1]
-    return None
+    rows = values.where(F.col("x") <= high).groupBy(place.alias("x")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    x, n = rows["x"].to_numpy(), rows["n"].to_numpy()  # null, for all below, becomes NaN
+    order = np.argsort(np.where(np.isnan(x), -np.inf, x), kind="stable")
+    found = [x[order][at] if at < len(x) else math.nan for at in np.searchsorted(np.cumsum(n[order]), [first, second], side="right")]
+    return None if np.isnan(found).any() else (float(found[0]), float(found[1]))

@@ -429,14 +429,15 @@ def draws_below(df: DataFrame, tolerance: float = BELOW) -> DataFrame:
 
 
 def watch_draws(df: DataFrame, metrics: Metrics, x: list[str] = REGRESSORS, tolerance: float = BELOW) -> DataFrame:
-    """C11, C12 on the way: ``metrics`` counts the draws, those below the observed wage, and the rows in
-    employment that stay without an imputed wage."""
-    censored = in_sample(x) & (F.col("cens") == 1) & F.col("ln_wage_imp").isNotNull()
+    """C11, C12 on the way: ``metrics`` counts the censored rows of the sample, the draws that were made for them
+    (those in cells without a fit get none), draws below the observed wage, and employment outside the sample."""
+    censored = in_sample(x) & (F.col("cens") == 1)
     return metrics.watch(
         df,
-        draws=F.count_if(censored),
+        censored=F.count_if(censored),
+        draws=F.count_if(censored & F.col("ln_wage_imp").isNotNull()),
         draws_below=F.count_if(F.col("ln_wage_imp") < F.col("ln_wage") - tolerance),
-        outside=F.count_if((F.col("quelle_gr") == 1) & F.col("ln_wage_imp").isNull()),
+        outside=F.count_if((F.col("quelle_gr") == 1) & ~in_sample(x)),
     )
 
 

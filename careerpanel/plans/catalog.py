@@ -675,13 +675,13 @@ QUERIES: dict[str, Query] = {
     "s3_refresh": Query(_s3_refresh, SINGLE, SINGLE_SQL),
     "f1_numbers": Query(
         _f1_numbers,
-        "i:episodes i:dropped i:rows i:counters_missing i:cells i:draws i:draws_below i:outside i:panel_rows",
+        "i:episodes i:dropped i:rows i:counters_missing i:cells i:censored i:draws_below i:outside i:panel_rows",
         _from("cut", f"""
   SELECT (SELECT count(*) FROM ep) AS episodes,
          (SELECT count(*) FROM ep WHERE coalesce(endepi < begepi, TRUE)) AS dropped,
          (SELECT count(*) FROM lev) AS rows, (SELECT count(*) - count(level1 + level2) FROM lev) AS counters_missing,
          (SELECT count(*) FROM (SELECT DISTINCT year, educ_tmp, east FROM cen WHERE {SAMPLE})) AS cells,
-         (SELECT count(*) FROM cen WHERE {SAMPLE} AND cens = 1) AS draws, 0 AS draws_below,
+         (SELECT count(*) FROM cen WHERE {SAMPLE} AND cens = 1) AS censored, 0 AS draws_below,
          (SELECT count(*) FROM cen WHERE quelle_gr = 1 AND NOT coalesce({SAMPLE}, FALSE)) AS outside,
          (SELECT count(*) FROM cut) AS panel_rows"""),
     ),

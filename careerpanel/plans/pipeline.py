@@ -135,7 +135,8 @@ class PanelRun:
 
     def numbers(self) -> dict[str, int]:
         """E4, E6, C10-C12 and F1 in numbers: episodes, dropped, rows, counters_missing, cells, cells_fitted (if the
-        job fitted them), draws, draws_below, outside (rows in employment that are not imputed) and panel_rows."""
+        job fitted them), censored, draws, draws_below, outside (rows in employment that are out of the sample) and
+        panel_rows."""
         return self.metrics.numbers()
 
 

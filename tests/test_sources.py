@@ -38,7 +38,7 @@ def test_batches_never_split_a_person(spark, sf_dir):
 
 def test_batches_of_heavy_persons(spark, sf_dir):
     df = episodes(spark, sf_dir)
-    heavy = ingest.assign_batches(df, 200, row_limit=12)
+    heavy = ingest.assign_batches(df, 200, parts=12)
     assert rows_of(heavy) == rows_of(ingest.assign_batches(df, 200))
 
 
