@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from careerpanel.llm.common import text_or_empty
 from careerpanel.sources.staging import stage
 
-#: Characters of a block.
+#: Bytes of a block.
 BLOCK = 4096
 
 
@@ -22,9 +22,14 @@ def normalised(text_col: str) -> Column:
 
 
 def _blocks(text: Column) -> Column:
-    """The text in consecutive blocks of BLOCK characters; an empty text is one empty block."""
-    n = F.greatest(F.lit(1), F.ceil(F.length(text) / BLOCK)).cast("int")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK)))
+    """The text's bytes in consecutive blocks of BLOCK; an empty text is one empty block.
+
+    A block of bytes is cut out at its place, while one of characters would be counted up to from the start. The
+    bytes are bound once, as the one element of an array, and not taken anew for each block.
+    """
+    n = F.greatest(F.lit(1), F.ceil(F.octet_length(text) / BLOCK)).cast("int")
+    places = F.sequence(F.lit(0), n - 1)
+    return F.transform(F.array(text.cast("binary")), lambda raw: F.transform(places, lambda i: F.substring(raw, i * BLOCK + 1, F.lit(BLOCK))))[0]
 
 
 def _prints(block: Column, seed: int) -> list[Column]:
