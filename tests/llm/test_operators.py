@@ -97,6 +97,15 @@ def test_exact_dedup_equals_grouping(docs, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
+def test_very_long_texts_are_cut_in_time(spark):
+    """Texts of 24 MB, alike but for the last character, and a copy with other white space."""
+    long = "é spaced  text \n" * 1_600_000
+    rows = [(1, long), (2, long + "a"), (3, long.replace("  ", "\t")), (4, long + "b"), (5, long + "a")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(frame).collect()}
+    assert got == {1: (1, 2), 2: (2, 2), 3: (1, 2), 4: (4, 1), 5: (2, 2)}
+
+
 def test_shards_follow_from_row_numbers(docs, empty):
     rows = sharding.document_shards(docs, 4).collect()
     assert Counter((r[0], r[1], r[2]) for r in rows) == Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in TEXTS)
@@ -291,6 +300,28 @@ def test_quality_model_sums_to_one_and_keeps_clean_text(spark, docs, empty):
     assert quality.classify(empty, labels).count() == 0
 
 
+def test_thresholds_are_quantiles_of_all_held_out_rows(spark, monkeypatch):
+    """A bound on the fitted rows doesn't bound the rows that the thresholds come from."""
+    monkeypatch.setattr(quality, "MAX_TRUSTED", 50)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    turn = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(quality.CALIBRATION))
+    held = {r.doc_id for r in labels.where((F.col("quality") == 1) & (turn == 0)).collect()}
+    assert len(held) > 50
+    rows = quality.classify(table, labels.unionByName(labels)).collect()  # repeated labels change nothing
+    place = {r.doc_id: round(quality.GRID * math.log(r.perplexity)) for r in rows if r.perplexity}
+    by = defaultdict(list)
+    for r in rows:
+        if r.doc_id in held and r.perplexity:
+            for of in (r.lang, None):
+                by[of].append(place[r.doc_id])
+    for r in rows:
+        mine = sorted(by.get(r.lang) or by[None])
+        low, high = mine[math.floor((len(mine) - 1) * quality.LOW)], mine[math.ceil((len(mine) - 1) * quality.HIGH)]
+        assert math.isclose(r.low, math.exp(low / quality.GRID)) and math.isclose(r.high, math.exp(high / quality.GRID))
+        assert r.kept == (r.doc_id in place and low <= place[r.doc_id] <= high)
+
+
 def test_main_text(spark):
     words = "word " * 40
     pages = {
