@@ -124,10 +124,12 @@ def finish_panel(
 @dataclass(frozen=True)
 class PanelRun:
     """What a run of the job gives: the panel, the reports as small written tables, and the fits and bound of wages
-    (to be passed to runs that shall impute alike). ``metrics`` has numbers once the panel was written or read."""
+    (to be passed to runs that shall impute alike). ``metrics`` has numbers once the panel was written or read.
+    ``buckets`` is the number of buckets that ordinary persons lie in."""
 
     panel: DataFrame
     prepared: People
+    buckets: int
     reports: dict[str, DataFrame]
     fits: DataFrame
     bound: float | None
@@ -148,7 +150,20 @@ def prepare_people(
     block: int = BLOCK,
     metrics: Metrics | None = None,
 ) -> People:
-    """Prepared rows in tables, ordinary persons' in buckets of ``persnr``.
+    """The prepared rows of :func:`prepared_buckets` alone."""
+    return prepared_buckets(df, lookups, compat, row_limit, block, metrics)[0]
+
+
+def prepared_buckets(
+    df: DataFrame,
+    lookups: Lookups,
+    compat: bool = False,
+    row_limit: int = ROW_LIMIT,
+    block: int = BLOCK,
+    metrics: Metrics | None = None,
+) -> tuple[People, int]:
+    """Prepared rows in tables, ordinary persons' in buckets of ``persnr``,
+    and the number of buckets.
 
     Persons are heavy by the rows that their episodes are going to be split into. There is a bucket for each
     ``BUCKET_ROWS`` rows, and at least one for each core, so a bucket is a task's work at any size.
@@ -162,7 +177,7 @@ def prepare_people(
         people = people.map(split.watch_counters, metrics)
     ordinary = stage_bucketed(people.ordinary, "persnr", ["persnr", "year", "begepi"], buckets, "prepared")
     spread = None if people.heavy is None else stage(people.heavy, "prepared-heavy")
-    return People(ordinary, spread, block, people.heavy_ids)
+    return People(ordinary, spread, block, people.heavy_ids), buckets
 
 
 def run_panel(
@@ -185,7 +200,7 @@ def run_panel(
     date(2000, *cutoff)
     metrics = Metrics()
     lookups = lookups or default_lookups(df.sparkSession)
-    prepared = prepare_people(df, lookups, compat, row_limit, block, metrics)
+    prepared, buckets = prepared_buckets(df, lookups, compat, row_limit, block, metrics)
     if missing := metrics.numbers()["counters_missing"]:
         raise ValueError(f"{missing} rows have no observation counter")
     found: dict[str, DataFrame] = {}
@@ -194,7 +209,7 @@ def run_panel(
     imputed, fits, bound = impute_people(prepared, seed, compat, fits, bound, metrics)
     out = finish_panel(imputed, handling, *cutoff, keep=keep).select(*PANEL, *keep)
     out = metrics.watch(out, panel_rows=F.count(F.lit(1)))
-    return PanelRun(out, prepared, found, fits, bound, metrics)
+    return PanelRun(out, prepared, buckets, found, fits, bound, metrics)
 
 
 def prepare_panel(
@@ -219,10 +234,11 @@ def prepare_panel(
 
 
 def store_panel(df: DataFrame, path: str, **options) -> tuple[dict[str, int], dict[str, list[dict]]]:
-    """F1 from episodes to a finished table at ``path`` (which must be new), bucketed by person. Returns the job's
-    numbers and its reports as rows. All intermediate tables are gone afterwards, also if the job fails."""
+    """F1 from episodes to a finished table at ``path`` (which must be new), in the buckets by person that the job
+    works in, so the rows move once from end to end. Returns the job's numbers and its reports as rows. All
+    intermediate tables are gone afterwards, also if the job fails."""
     spark = df.sparkSession
     with scratch(spark):
         run = run_panel(df, **options)
-        save_bucketed(run.panel, path, max(spark.sparkContext.defaultParallelism, 1))
+        save_bucketed(run.panel, path, run.buckets, placed=run.prepared.heavy is None)
         return run.numbers(), {name: [r.asDict() for r in report.collect()] for name, report in run.reports.items()}

@@ -25,15 +25,18 @@ LEDGER = T.StructType(
 # --- bucketed tables: S5 --------------------------------------------------------------------
 
 
-def save_bucketed(df: DataFrame, path: str, buckets: int, key: str = "persnr", order: tuple[str, ...] = ("persnr", "year")) -> None:
+def save_bucketed(
+    df: DataFrame, path: str, buckets: int, key: str = "persnr", order: tuple[str, ...] = ("persnr", "year"), placed: bool = False
+) -> None:
     """A finished table in ``buckets`` buckets of ``key``, one file each, sorted by ``order``.
 
-    A note beside the files says how they are dealt, so that :func:`open_bucketed` finds it in any session.
+    A note beside the files says how they are dealt, so that :func:`open_bucketed` finds it in any session. Rows
+    that are ``placed`` by ``key`` in as many partitions already, as those of a table in such buckets are, aren't dealt anew.
     """
     spark = df.sparkSession
     name = f"careerpanel_{uuid.uuid4().hex}"
-    placed = df.repartition(buckets, key)
-    placed.write.bucketBy(buckets, key).sortBy(*order).option("path", path).saveAsTable(name)
+    dealt = df if placed else df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(*order).option("path", path).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")
     note = spark.createDataFrame([(buckets, key, list(order))], "buckets int, key string, order array<string>")
     note.coalesce(1).write.json(f"{path}/_bucketed")

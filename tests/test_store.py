@@ -123,6 +123,7 @@ def test_bucketed_panel_needs_no_exchange(spark, sf_dir, tmp_path):
     numbers, found = pipeline.store_panel(episodes(spark, sf_dir), path)
     table = store.open_bucketed(spark, path)
     assert table.columns == PANEL and table.count() == numbers["panel_rows"]
+    assert len(list((tmp_path / "panel").glob("part-*"))) <= 4  # a file for each bucket
     assert "Exchange hashpartitioning" not in _plan(table.groupBy("persnr").count())
     joined = table.hint("merge").join(store.open_bucketed(spark, path).select("persnr", F.col("year").alias("other")), "persnr")
     assert "Exchange" not in _plan(joined.select("persnr", "other"))
