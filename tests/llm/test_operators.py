@@ -272,6 +272,21 @@ def test_hmm_equals_a_plain_forward_recursion(docs, empty):
     assert hmm.score(docs, hmm.fit(empty)).count() == len(TEXTS)
 
 
+def test_language_model_learns_from_all_rows_alike(spark, monkeypatch):
+    """The likelihood rises, texts that were held out are likelier than under the base, and neither the order nor
+    the dealing of rows makes another model, though the start is found on a sample."""
+    monkeypatch.setattr(hmm, "SAMPLE", 300)
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    train, rest = (table.where(c) for c in (fold("doc_id", 7) != 2, fold("doc_id", 7) == 2))
+    model = hmm.fit(train)
+    assert len(model.likelihoods) >= 2 and all(a < b for a, b in zip(model.likelihoods, model.likelihoods[1:]))
+    total = hmm.score(rest, model).agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+    assert (total.score - total.base) / total.n > 0.2  # log10 a token
+    other = hmm.fit(train.repartition(7, "source").sortWithinPartitions("lang"))
+    assert np.allclose(model.likelihoods, other.likelihoods, rtol=1e-9)
+    assert all(np.allclose(a, b, rtol=1e-6) for a, b in zip((model.chain.start, model.chain.move, model.chain.emit), (other.chain.start, other.chain.move, other.chain.emit), strict=True))
+
+
 def test_expected_counts_do_not_depend_on_pieces(monkeypatch):
     draw = np.random.default_rng(1)
     emit = draw.random((9, 3))
