@@ -12,8 +12,12 @@ from careerpanel.sources.staging import stage
 BATCH_SIZE = 3_000_000
 
 
-def read_episodes(spark: SparkSession, path: str, format: str = "parquet", check: bool = True, **options):
-    """The episode table from Parquet, or from CSV with a header, with the declared schema."""
+def read_episodes(spark: SparkSession, path: str, format: str = "parquet", check: bool = False, **options):
+    """The episode table from Parquet, or from CSV with a header, with the declared schema.
+
+    The whole job ends if (``persnr``, ``spell``) is no key, and looks behind its own exchange for that. ``check`` looks at
+    once, which takes an exchange of the key columns: for tables that go elsewhere.
+    """
     reader = spark.read.options(**options)
     if format == "csv":
         reader = reader.options(header=True, enforceSchema=False).schema(EPISODES)

@@ -271,3 +271,19 @@ def test_an_episode_given_twice_ends_the_job(spark):
         prepare_panel(df.unionByName(df))
     with pytest.raises(ValueError, match="is not a key"):
         prepare_panel(df.unionByName(df), row_limit=5)
+
+
+def test_cells_solved_by_sums_over_tasks_equal_those_solved_in_one(spark):
+    """The way of very large cells, and both ways side by side; a cell without censored rows and one without a fit."""
+    df = _sample(spark, n=2000, cells=3).withColumn("cens", F.when(F.col("cell") == 2, 0).otherwise(F.col("cens")))
+    df = df.unionByName(df.limit(2).withColumn("cell", F.lit(9).cast(df.schema["cell"].dataType)))
+    middle = df.where("cell = 0 AND cens = 1").count()
+    fit = lambda n: tobit.fit_censored(df, ["cell"], "y", "cens", X, cell_points=n).orderBy("cell").collect()
+    small, large, mixed = map(fit, (10**6, 0, middle - 1))
+    assert [r.status for r in small][:3] == ["ok"] * 3 and small[0].steps > 2 and len(small) == 4
+    for a, b, c in zip(small, large, mixed, strict=True):
+        assert a.status == b.status == c.status and a.rank == b.rank == c.rank and a.n_cens == b.n_cens == c.n_cens
+        if a.sigma is not None:
+            for other in (b, c):
+                assert other.sigma == pytest.approx(a.sigma, rel=1e-7)
+                assert other.beta == pytest.approx(a.beta, rel=1e-5, abs=1e-9)

@@ -75,12 +75,18 @@ def test_csv_source(spark, sf_dir, tmp_path):
     assert rows_of(ingest.read_episodes(spark, path, "csv")) == rows_of(episodes(spark, sf_dir))
 
 
-def test_checks(spark, sf_dir):
+def test_checks(spark, sf_dir, tmp_path):
     df = episodes(spark, sf_dir)
     with pytest.raises(ValueError, match="lacks bnn"):
         conform(df.drop("bnn"))
     with pytest.raises(ValueError, match="not a key"):
         check_key(df.withColumn("spell", F.lit(1)))
+    path = str(tmp_path / "twice")
+    df.unionByName(df.where("persnr = 1")).write.parquet(path)
+    with pytest.raises(ValueError, match="not a key"):
+        ingest.read_episodes(spark, path, check=True)
+    with pytest.raises(Exception, match="not a key"):
+        pipeline.prepare_panel(ingest.read_episodes(spark, path))
 
 
 def test_panel_store(spark, sf_dir, tmp_path):
