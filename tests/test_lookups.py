@@ -83,7 +83,7 @@ def test_unknown_values_stay_null(spark):
 @pytest.mark.parametrize("q", [0.0, 0.5, 0.9, 0.99, 1.0])
 def test_exact_quantile(spark, q, monkeypatch):
     monkeypatch.setattr(quantile, "SMALL", 20)
-    monkeypatch.setattr(quantile, "BINS", 16)
+    monkeypatch.setattr(quantile, "SKETCH", 16)
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.lognormal(0, 2, 3000), np.full(1500, 2.5), [1e9]])
     df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double")
