@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, Token
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +42,21 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """Intermediate tables that are written inside are deleted at the end, also after an error. Frames that
-    read them are of no use afterwards: write or collect what is wanted inside."""
+    read them are of no use afterwards: write or collect what is wanted inside, or stage it with the function
+    that the block is given, whose tables outlive it as if they were written around it."""
     token = _written.set([])
+
+    def keep(df: DataFrame, name: str = "stage") -> DataFrame:
+        inner = _written.set(token.old_value if token.old_value is not Token.MISSING else None)
+        try:
+            return stage(df, name)
+        finally:
+            _written.reset(inner)
+
     try:
-        yield
+        yield keep
     finally:
         written = _written.get()
         _written.reset(token)

@@ -204,3 +204,16 @@ def test_scratch_leaves_nothing(spark, sf_dir, tmp_path, monkeypatch):
         staging.stage_bucketed(spark.range(3), "id", ["id"], 2)
         raise ValueError("broken")
     assert list(shared.iterdir()) == []
+
+
+def test_scratch_keeps_what_it_is_told_to(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(shared))
+    with staging.scratch(spark):
+        with staging.scratch(spark) as keep:
+            kept = keep(staging.stage(spark.range(5)).where("id > 1"), "kept")
+        assert [p.name.split("-")[1] for p in shared.iterdir()] == ["kept"] and kept.count() == 3
+    assert list(shared.iterdir()) == []
+    with staging.scratch(spark) as keep:
+        kept = keep(spark.range(2))
+    assert kept.count() == 2
