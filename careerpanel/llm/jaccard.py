@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from careerpanel.llm.common import lists, map_slices, row_key, strings
 from careerpanel.llm.components import components
-from careerpanel.sources.staging import stage
+from careerpanel.sources.staging import scratch, stage
 
 #: Words whose hashes a task keeps; the store starts anew when full.
 CACHE = 400_000
-#: Sets of a signature tree, of a leaf, and words of 64 bits in a bitmap.
-TREE, LEAF, WORDS = 2000, 16, 16
+#: Sets of a signature tree, of a leaf, and least and most words of 64 bits in a bitmap.
+TREE, LEAF, WORDS = 2000, 16, (16, 1024)
 #: A set goes on if at least one in SHARE of its hashes is among the least of other sets, too.
 SHARE = 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -133,12 +133,12 @@ def least_marks(n: int, percent: int) -> int:
 class Tree:
     """A binary tree over sets. A node holds the OR and the AND of its sets' bitmaps and their range of sizes."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], words: int):
         self.sets = sets
         self.size = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.bits = np.zeros((len(sets), WORDS), np.uint64)
+        self.bits = np.zeros((len(sets), words), np.uint64)
         for i, s in enumerate(sets):
-            bit = _mix(s) % np.uint64(64 * WORDS)
+            bit = _mix(s) % np.uint64(64 * words)
             np.bitwise_or.at(self.bits[i], (bit >> np.uint64(6)).astype(int), np.uint64(1) << (bit & np.uint64(63)))
         self.order = np.lexsort((self.size, np.fromiter((s.min() for s in sets), np.uint64, len(sets))))
         self.nodes: list[tuple] = []
@@ -152,6 +152,12 @@ class Tree:
         return len(self.nodes) - 1
 
 
+def bitmap_words(sets: list[np.ndarray]) -> int:
+    """Words of a bitmap with two bits for each hash of nine sets in ten: fuller ones tell unlike sets not apart."""
+    wanted = int(np.percentile([len(s) for s in sets], 90)) // 32
+    return int(np.clip(1 << wanted.bit_length(), *WORDS))
+
+
 def _count(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
 
@@ -169,7 +175,8 @@ def tree_links(sets: list[np.ndarray], percent: int, label: np.ndarray, side: np
     groups = [np.arange(len(sets))] if side is None else [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
     if min(map(len, groups)) == 0:
         return found
-    trees = [Tree([sets[i] for i in g]) for g in groups]
+    words = bitmap_words(sets)
+    trees = [Tree([sets[i] for i in g], words) for g in groups]
     left, right = trees[0], trees[-1]
     ids_l, ids_r = groups[0], groups[-1]
     same = side is None
@@ -233,6 +240,26 @@ def _links_of_units(units: DataFrame, percent: int) -> DataFrame:
     return units.groupBy("unit").applyInArrow(run, "u bigint, v bigint")
 
 
+def refine(sets: DataFrame, percent: int) -> DataFrame:
+    """``sets`` (k, c, set) with clusters cut to what the rarest shingles hold together.
+
+    Two sets that link have one of their rarest shingles in common: of all but ``least_common`` less one, in an
+    order of shingles that is the same for both. The order is by number of sets of the cluster, then by hash. Shingles
+    of one set alone come first and meet nothing, so what many sets share is seldom a key. A set
+    without a key links with nothing and goes.
+    """
+    each = sets.dropDuplicates(["c"]).select("k", "c", F.size("set").alias("size"), F.explode("set").alias("s"))
+    often = stage(each.groupBy("k", "s").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    shared = each.join(often, ["k", "s"]).groupBy("c", "size").agg(F.sort_array(F.collect_list(F.struct("n", "s", "k"))).alias("of"))  # of one set
+    # the first shingles of the order, size - least_common + 1 of them, less those of the set alone
+    least = F.ceil(F.col("size") * percent / 100).cast("int")
+    keys = F.greatest(F.lit(0), F.size("of") - least + 1)
+    entries = stage(shared.select("c", F.explode(F.slice("of", F.lit(1), keys)).alias("e")).select("c", "e.k", "e.s"), "rare")
+    star = stage(entries.groupBy("k", "s").agg(F.min("c").alias("u"), F.max("c").alias("v")).where("u <> v").drop("v"), "stars")
+    edges = entries.join(star, ["k", "s"]).where("c <> u").select("u", F.col("c").alias("v"))
+    return sets.drop("k").join(components(edges).select(F.col("node").alias("c"), F.col("label").alias("k")), "c").select("k", "c", "set")
+
+
 def _unit(*parts) -> list:
     return [F.xxhash64(*parts).alias("unit"), F.xxhash64(*parts).alias("part")]
 
@@ -240,12 +267,19 @@ def _unit(*parts) -> list:
 def _join_sets(sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) within each cluster of ``sets`` (k, c, set), enough to connect what is linked.
 
-    Clusters of up to TREE sets are joined in one tree; a task takes some of them. A larger one is cut in
-    blocks. First each block is joined with itself and with block 0. Then the largest component so far is
-    left out as one side: sets outside it, in blocks, are joined with all blocks. So no two sets of unlike
-    component stay unseen, and a group of copies of any size costs two passes over its blocks.
+    A cluster of more than TREE sets is cut by :func:`refine` first. Clusters of up to TREE sets are joined in
+    one tree; a task takes some of them. One that is still larger is cut in blocks. First each block is joined
+    with itself and with block 0. Then the largest component so far is left out as one side: sets outside it, in
+    blocks, are joined with all blocks. So no two sets of unlike component stay unseen, and a group of copies
+    of any size costs two passes over its blocks.
     """
     sizes = stage(sets.groupBy("k").agg(F.countDistinct("c").alias("m")), "clusters")
+    if (sizes.agg(F.max("m")).first()[0] or 0) > TREE:
+        large = sizes.where(F.col("m") > TREE).select("k")
+        cut = refine(sets.join(large, "k", "left_semi"), percent)
+        # labels of cut clusters and of others are the least classes of unlike sets, so they stay apart
+        sets = stage(sets.join(large, "k", "left_anti").select("k", "c", "set").unionByName(cut), "sets")
+        sizes = stage(sets.groupBy("k").agg(F.countDistinct("c").alias("m")), "clusters")
     total = sizes.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
     bins = max(1, total[0] // (TREE // 2))
     sized = sets.join(sizes, "k").withColumn("label", F.col("c"))
@@ -286,7 +320,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
 
     Equal sets are one class. Only classes whose ``prefix`` meets those of others often enough can link. Of these, classes
     that link share a key of ``Parts``; classes that share one, by any chain, form a cluster, and within
-    clusters signature trees find the links.
+    clusters signature trees find the links. Large clusters are cut by their rarest shingles before. Tables that
+    are written on the way are deleted when the next ones stand.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
 
@@ -304,15 +339,18 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
         return step
 
     kind = rows.schema["id"].dataType.simpleString()
-    seen = map_slices(rows, marks, f"id {kind}, key bigint, n bigint, digest binary, need bigint, marks array<bigint>")
-    seen = stage(seen.withColumn("rid", F.monotonically_increasing_id()), "sets")
-    classes = seen.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("id").alias("least"))
-    classes = stage(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    first = stage(classes.join(seen.select("rid", "key", "need", "marks"), "rid").select("c", "digest", "key", "need", "marks"), "first")
-    marked = first.select("c", F.explode("marks").alias("mark"))
-    shared = stage(marked.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "marks")
-    met = stage(marked.join(shared, "mark").groupBy("c").agg(F.count("*").alias("met")), "met")
-    first = first.drop("marks").join(met, "c").where("met >= need").select("c", "digest", "key")
+    spark = docs.sparkSession
+    with scratch(spark) as keep:
+        sets = map_slices(rows, marks, f"id {kind}, key bigint, n bigint, digest binary, need bigint, marks array<bigint>")
+        sets = stage(sets.withColumn("rid", F.monotonically_increasing_id()), "marked")
+        seen = keep(sets.select("id", "n", "digest"), "seen")
+        classes = sets.where("n > 0").groupBy("digest").agg(F.min("rid").alias("rid"), F.min("id").alias("least"))
+        classes = keep(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
+        first = stage(classes.join(sets.select("rid", "key", "need", "marks"), "rid").select("c", "digest", "key", "need", "marks"), "first")
+        marked = first.select("c", F.explode("marks").alias("mark"))
+        shared = stage(marked.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "marks")
+        met = stage(marked.join(shared, "mark").groupBy("c").agg(F.count("*").alias("met")), "met")
+        first = keep(first.drop("marks").join(met, "c").where("met >= need").select("c", "digest", "key"), "first")
 
     def whole_sets(after: Callable[[np.ndarray], np.ndarray]):
         """(c, value): of a class' own text, not of one with an equal key, what ``after`` makes of its set."""
@@ -332,20 +370,21 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
         return start
 
     texts = rows.select("key", "text")
-    # equal rows give their class' keys once each
-    keyed = map_slices(texts.join(first, "key").select("c", "digest", "text"), whole_sets(Parts(percent)), "c bigint, value array<bigint>")
-    keyed = stage(keyed, "parts")
-    entries = keyed.select("c", F.explode("value").alias("part"))
-    star = entries.groupBy("part").agg(F.min("c").alias("u"), F.max("c").alias("v")).where("u <> v").drop("v")
-    star = stage(star, "stars")
-    edges = entries.join(star, "part").where("c <> u").select("u", F.col("c").alias("v")).distinct()
-    clusters = stage(components(edges), "clusters")
-    members = first.join(clusters, F.col("c") == F.col("node"), "left_semi")
-    found = map_slices(texts.join(members, "key").select("c", "digest", "text"), whole_sets(lambda s: s), "c bigint, value array<bigint>")
-    sets = stage(found.join(clusters, F.col("c") == F.col("node")).select(F.col("label").alias("k"), "c", F.col("value").alias("set")), "sets")
-    linked = components(stage(_join_sets(sets, percent), "links")).withColumnRenamed("node", "c")
-    labels = classes.join(linked, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    least = labels.groupBy("label").agg(F.min("least").alias("component"))
-    named = stage(labels.join(least, "label").select("digest", "component"), "named")
+    with scratch(spark) as keep:
+        # equal rows give their class' keys once each
+        keyed = map_slices(texts.join(first, "key").select("c", "digest", "text"), whole_sets(Parts(percent)), "c bigint, value array<bigint>")
+        entries = stage(keyed, "parts").select("c", F.explode("value").alias("part"))
+        star = entries.groupBy("part").agg(F.min("c").alias("u"), F.max("c").alias("v")).where("u <> v").drop("v")
+        star = stage(star, "stars")
+        edges = entries.join(star, "part").where("c <> u").select("u", F.col("c").alias("v")).distinct()
+        clusters = keep(components(edges), "clusters")
+    with scratch(spark) as keep:
+        members = first.join(clusters, F.col("c") == F.col("node"), "left_semi")
+        found = map_slices(texts.join(members, "key").select("c", "digest", "text"), whole_sets(lambda s: s), "c bigint, value array<bigint>")
+        sets = stage(found.join(clusters, F.col("c") == F.col("node")).select(F.col("label").alias("k"), "c", F.col("value").alias("set")), "sets")
+        linked = components(stage(_join_sets(sets, percent), "links")).withColumnRenamed("node", "c")
+        labels = classes.join(linked, "c", "left").withColumn("label", F.coalesce("label", "c"))
+        least = labels.groupBy("label").agg(F.min("least").alias("component"))
+        named = keep(labels.join(least, "label").select("digest", "component"), "named")
     out = seen.select("id", "n", "digest").join(named, "digest", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))

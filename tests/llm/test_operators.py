@@ -186,6 +186,27 @@ def test_jaccard_cuts_large_clusters(spark, monkeypatch):
     assert counted(jaccard.jaccard_components(frame, 3, 90)) == near(texts, 3, 90)
 
 
+def test_jaccard_cuts_chains_by_rare_shingles(spark, monkeypatch):
+    """Texts around one passage hang together by parts of it; only near copies of each other stay together."""
+    monkeypatch.setattr(jaccard, "TREE", 8)
+    draw = np.random.default_rng(8)
+    texts = []
+    for i in range(60):
+        own = [f"o{i // 3}x{k}" for k in range(int(draw.integers(20, 120)) if i % 3 == 0 else len(own))]  # noqa: F821
+        for k in draw.integers(0, len(own), i % 3):
+            own[k] = f"v{i}"
+        texts.append((i, " ".join([f"p{k}" for k in range(80)] + own), "en"))
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    assert counted(jaccard.jaccard_components(frame, 5, 80)) == near(texts, 5, 80)
+    shingle = jaccard.Shingler(5)
+    sets = spark.createDataFrame([(0, i, shingle(t).view(np.int64).tolist()) for i, t, _ in texts], "k bigint, c bigint, set array<bigint>")
+    cut = {r.c: r.k for r in jaccard.refine(sets.union(sets.limit(4)), 80).collect()}
+    linked = {r.doc_id: r.component_id for r in jaccard.jaccard_components(frame, 5, 80).collect()}
+    for i, k in linked.items():
+        assert i == k or cut[i] == cut[k]
+    assert len(set(cut.values())) > 10
+
+
 def test_parts_of_linked_sets_meet():
     draw = np.random.default_rng(5)
     for percent in (80, 90):
