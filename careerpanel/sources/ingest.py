@@ -38,31 +38,27 @@ def _ranged(df: DataFrame, placed: int | None) -> tuple[DataFrame, DataFrame]:
     number = F.monotonically_increasing_id()
     places = {"_part": F.shiftright(number, 33).cast("int"), "_at": number.bitwiseAND((1 << 33) - 1)}
     rows = stage(ranged.withColumns(places), "ranged")
-    return rows, rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.max("persnr").alias("last"))
+    return rows, rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _steps(rows: DataFrame, parts: DataFrame, size: int) -> DataFrame:
-    """One row: for each part an array ``steps`` of (persnr, batch), see :func:`assign_batches`.
+def _ends(rows: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """One row: ``offsets``, for each part the number of rows before it, and ``ends``, for each batch end k = 1, 2, ...
+    the person it falls on and ``top``, the last end on that person.
 
     Everything here has a row per part or per batch.
     """
     before = F.sum("n").over(Window.orderBy("_part").rowsBetween(*BEFORE))
-    parts = stage(parts.withColumn("offset", F.coalesce(before, F.lit(0))), "parts")
+    parts = stage(parts.select("_part", F.coalesce(before, F.lit(0)).alias("offset")), "parts")
     number = F.col("offset") + F.col("_at") + 1
-    ends = rows.select("_part", "_at", "persnr").join(F.broadcast(parts.select("_part", "offset")), "_part").where(number % size == 0)
-    ends = stage(ends.select("_part", "persnr", (number / size).cast("long").alias("k")), "batch-ends")
+    ends = rows.select("_part", "_at", "persnr").join(F.broadcast(parts), "_part").where(number % size == 0)
+    ends = stage(ends.select("persnr", (number / size).cast("long").alias("k")), "batch-ends")
     # a person on whom several batches end belongs to the last of them
-    highest = ends.groupBy("persnr").agg(F.max("k").alias("k"))
-    inside = ends.select("_part", "persnr").distinct().join(highest, "persnr")
-    across = parts.join(highest, F.col("last") == F.col("persnr")).select("_part", "persnr", "k")
-    known = inside.select("_part", "persnr", "k").unionByName(across).groupBy("_part").agg(F.collect_set(F.struct("persnr", "k")).alias("steps"))
-    first = F.struct(F.lit(None).cast("long").alias("persnr"), F.floor(F.col("offset") / size).cast("long").alias("k"))
-    steps = F.concat(F.array(first), F.coalesce("steps", F.array().cast("array<struct<persnr:bigint,k:bigint>>")))
-    parts = parts.join(known, "_part", "left").select("_part", steps.alias("steps"))
+    ends = ends.join(ends.groupBy("persnr").agg(F.max("k").alias("top")), "persnr")
+    ends = ends.agg(F.sort_array(F.collect_list(F.struct("k", "persnr", "top"))).alias("ends"))
     # every part gets its place, those without rows too
     all_parts = parts.agg(F.coalesce(F.max("_part"), F.lit(0)).alias("top")).select(F.explode(F.sequence(F.lit(0), "top")).alias("_part"))
-    placed = all_parts.join(parts, "_part", "left").agg(F.sort_array(F.collect_list(F.struct("_part", "steps"))).alias("parts"))
-    return placed.select(F.transform("parts", lambda p: p["steps"]).alias("steps"))
+    offsets = all_parts.join(parts, "_part", "left").agg(F.sort_array(F.collect_list(F.struct("_part", "offset"))).alias("parts"))
+    return offsets.select(F.transform("parts", lambda p: p["offset"]).alias("offsets")).crossJoin(ends)  # a row each
 
 
 def assign_batches(df: DataFrame, size: int = BATCH_SIZE, parts: int | None = None) -> DataFrame:
@@ -70,16 +66,18 @@ def assign_batches(df: DataFrame, size: int = BATCH_SIZE, parts: int | None = No
 
     A batch has about ``size`` rows and never splits a person. Rows are dealt by range of ``persnr``; each part's
     number of rows is carried to the parts behind it as an offset. Batch k ends at the person in whose rows
-    the running number passes k * size; those few places are looked up, and a row's batch follows from its
-    part and its person alone, without counts by person and without a join. A row without a person belongs to
+    the running number passes k * size. If the next end falls on a row's own person, the person's last end counts,
+    else the row's own number. So a row takes one look-up, however many batches there are, without counts by
+    person and without a join. A row without a person belongs to
     no batch: it raises. ``parts`` is the number of ranges, the session's by default.
     """
     rows, counted = _ranged(df, parts)
-    steps = stage(_steps(rows, counted, size), "steps").scalar()
-    reached = F.filter("_steps", lambda s: s["persnr"].isNull() | (s["persnr"] <= F.col("persnr")))
-    batch = F.array_max(F.transform(reached, lambda s: s["k"])) + 1
-    rows = rows.withColumn("_steps", F.element_at(steps, F.col("_part") + 1))
-    return rows.withColumn("pn_batch", batch).drop("_part", "_at", "_steps")
+    known = stage(_ends(rows, counted, size).select(F.struct("offsets", "ends").alias("known")), "ends").scalar()
+    number = F.get(known["offsets"], F.col("_part")) + F.col("_at") + 1
+    rows = rows.withColumn("_k", F.floor(number / size).cast("long"))
+    ahead = F.get(known["ends"], F.col("_k").cast("int"))  # end k is at place k - 1
+    batch = F.when(ahead["persnr"] == F.col("persnr"), ahead["top"]).otherwise(F.col("_k")) + 1
+    return rows.withColumn("pn_batch", batch).drop("_part", "_at", "_k")
 
 
 def batch_plan(df: DataFrame, size: int = BATCH_SIZE) -> DataFrame:

@@ -49,6 +49,15 @@ def test_assignment_takes_no_join(spark, sf_dir, tmp_path):
     assert "Join" not in plan and "Exchange" not in plan and "Window" not in plan
 
 
+def test_a_row_takes_one_look_up_of_its_batch(spark, sf_dir, tmp_path):
+    """No row goes through the batches of its part, of which there may be thousands."""
+    episodes(spark, sf_dir).write.parquet(str(tmp_path / "in"))
+    df = ingest.read_episodes(spark, str(tmp_path / "in"))
+    got = ingest.assign_batches(df, 3, 1)
+    assert "lambda" not in _plan(got)
+    assert {(r.persnr, r.pn_batch) for r in got.select("persnr", "pn_batch").distinct().collect()} == set(_expected(df, 3).items())
+
+
 def test_no_rows_no_batches(spark):
     empty = hand(spark, [])
     assert ingest.assign_batches(empty, 10).count() == 0
