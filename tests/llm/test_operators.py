@@ -358,6 +358,18 @@ def test_thresholds_are_quantiles_of_all_held_out_rows(spark, monkeypatch):
         assert r.kept == (r.doc_id in place and low <= place[r.doc_id] <= high)
 
 
+def test_quality_model_is_fitted_on_all_trusted_rows(spark, monkeypatch):
+    """Every trusted row that is not held out is counted, however many there are."""
+    n, seen = 30_000, []
+    turn = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(quality.CALIBRATION))
+    ids = spark.range(n).select(F.col("id").alias("doc_id"))
+    table = ids.select("doc_id", F.lit("en").alias("lang"), F.lit("abc").alias("text"))
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, *a: seen.append(rows.select("doc_id").distinct().count()) or fit(rows, *a))
+    assert quality.classify(table, ids.withColumn("quality", F.lit(1))).where("kept").count() == n
+    assert seen == [ids.where(turn > 0).count()] and seen[0] > 20_000
+
+
 def test_main_text(spark):
     words = "word " * 40
     pages = {
