@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careerpanel.llm.common import strings
-from careerpanel.sources.staging import stage
+from careerpanel.sources.staging import scratch, stage
 
 #: Hidden states; words with an emission of their own; classes of all other words; words whose counts each
 #: task holds (the counts of the rest are joined). Fixed sizes, so what is sent to tasks does not grow.
 STATES, OWN, CLASSES, HELD = 4, 32_768, 1024, 262_144
-#: WARM rounds on at most SAMPLE rows find a start. Then rounds over all training rows give the model: until one
-#: raises the log likelihood by less than the share RISE, at most FULL.
+#: WARM rounds find a start. They take turns over up to WARM parts of all training rows, of SAMPLE rows or more, so
+#: that all rows have a say. Then rounds over all training rows give the model: until one raises the log likelihood
+#: by less than the share RISE, at most FULL.
 SAMPLE, WARM, FULL, RISE = 2000, 12, 3, 1e-5
 #: Strength of the prior (the corpus' own distribution) in each state's emissions.
 PRIOR = 50.0
@@ -271,22 +272,47 @@ def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
                 start, size, block = i + 1, 0, []
 
 
-def expected_counts(texts: DataFrame, chain: Chain, vocab: Broadcast[Vocabulary]) -> tuple[float, Chain]:
-    """One pass of Baum-Welch over ``texts``: log likelihood and expected counts, summed over partitions.
+def encoded(rows: DataFrame, part: Column, text_col: str, vocab: Broadcast[Vocabulary]) -> DataFrame:
+    """(part, symbols) of each whole text, its end included; symbols as 32-bit numbers in a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, block in _blocks(batches, 1):
+            found = vocab.value.look_up(block)
+            ends = np.concatenate([[0], np.cumsum(found.sizes * 4)]).astype(np.int32)
+            data = pa.py_buffer(np.ascontiguousarray(found.flat, np.int32))
+            symbols = pa.Array.from_buffers(pa.binary(), len(block), [None, pa.py_buffer(ends), data])
+            yield pa.record_batch([batch.column(0), symbols], names=["part", "symbols"])
+
+    return rows.select(part.cast("int").alias("part"), F.col(text_col).alias("text")).mapInArrow(run, "part int, symbols binary")
+
+
+def _symbol_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """About BLOCK symbols at once, those of all texts one after another, and the texts' sizes."""
+    for batch in batches:
+        block, size = [], 0
+        for i, row in enumerate(batch.column(0)):
+            block.append(np.frombuffer(row.as_buffer(), np.int32))
+            size += len(block[-1])
+            if size >= BLOCK or i == batch.num_rows - 1:
+                yield np.concatenate(block), np.fromiter(map(len, block), np.int64, len(block))
+                block, size = [], 0
+
+
+def expected_counts(symbols: DataFrame, chain: Chain) -> tuple[float, Chain]:
+    """One pass of Baum-Welch over the texts of ``encoded``: log likelihood and expected counts, summed over partitions.
 
     Each task adds up its own texts' counts and hands on one row per symbol it met; the driver gets one
     row per symbol.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(chain)
+    sent = symbols.sparkSession.sparkContext.broadcast(chain)
     k, s = len(chain.start), len(chain.emit)
     kinds = ", ".join(["symbol int", *(f"s{i} double" for i in range(k))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = sent.value
         total = np.zeros((s + k + 2, k))  # emissions, then moves, first states and the log likelihood
-        for _, block in _blocks(batches, 0):
-            found = vocab.value.look_up(block)
-            like, first, moves, emits = Pieces.cut(found.flat, found.sizes).expected(chain)
+        for flat, sizes in _symbol_blocks(batches):
+            like, first, moves, emits = Pieces.cut(flat, sizes).expected(chain)
             total[:s] += emits
             total[s : s + k] += moves
             total[s + k] += first
@@ -294,7 +320,7 @@ def expected_counts(texts: DataFrame, chain: Chain, vocab: Broadcast[Vocabulary]
         rows = np.flatnonzero(total.any(axis=1))
         yield pa.record_batch([pa.array(rows, pa.int32()), *(pa.array(total[rows, i]) for i in range(k))], names=["symbol", *(f"s{i}" for i in range(k))])
 
-    sums = texts.mapInArrow(run, kinds).groupBy("symbol").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(k))).toArrow()
+    sums = symbols.select("symbols").mapInArrow(run, kinds).groupBy("symbol").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(k))).toArrow()
     total = np.zeros((s + k + 2, k))
     if len(sums):
         total[sums["symbol"].to_numpy()] = np.stack([sums[f"s{i}"].to_numpy() for i in range(k)], axis=1)
@@ -330,28 +356,30 @@ class HMM:
 
 
 def fit(rows: DataFrame, text_col: str = "text", states: int = STATES, seed: int = 0, id_col: str = "doc_id") -> HMM:
-    """Learn from all ``rows``. Counts, vocabulary and the last rounds cover every row and whole text; the rounds
-    before only find a start, on at most SAMPLE rows, those of least hash of id and text. So the model doesn't depend
-    on how rows are dealt, but for the rounding of sums."""
+    """Learn from all ``rows``. Counts, vocabulary and the last rounds cover every row and whole text, and so do the
+    rounds before, that find a start: each takes one of the parts that rows are dealt into by a hash of id and text,
+    and there are no more parts than rounds. So the model doesn't depend on how rows are dealt, but for the rounding of sums."""
     texts = rows.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counts = stage(word_counts(texts), "words")
     vocab = vocabulary(counts)
     sent = rows.sparkSession.sparkContext.broadcast(vocab)
     chain = first_chain(vocab, states, seed)
     place = F.xxhash64(F.lit(seed), id_col, text_col)
-    share = min(1.0, 2 * SAMPLE / max(1, vocab.ends))  # so few rows are ordered
-    drawn = rows.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), place.alias("place"))
-    drawn = drawn.where(F.pmod("place", F.lit(1 << 40)) < int(share * (1 << 40))).orderBy(F.pmod("place", F.lit(1 << 40)), "place").limit(SAMPLE)
-    sample = stage(drawn.select("text").repartition(8), "sample")
-    for _ in range(WARM):
-        chain = maximise(expected_counts(sample, chain, sent)[1], vocab)
+    parts = max(1, min(WARM, vocab.ends // SAMPLE))
     likelihoods: list[float] = []
-    while len(likelihoods) < FULL:
-        likelihood, expected = expected_counts(texts, chain, sent)
-        likelihoods.append(likelihood)
-        chain = maximise(expected, vocab)
-        if len(likelihoods) > 1 and likelihood - likelihoods[-2] < RISE * abs(likelihood):
-            break
+    with scratch(rows.sparkSession):
+        # texts are cut into words once, and not in each round
+        symbols = stage(encoded(rows, F.pmod(place, F.lit(parts)), text_col, sent), "symbols")
+        for i in range(WARM):
+            expected = expected_counts(symbols.where(F.col("part") == i % parts), chain)[1]
+            if expected.emit.any():  # else no row has this turn
+                chain = maximise(expected, vocab)
+        while len(likelihoods) < FULL:
+            likelihood, expected = expected_counts(symbols, chain)
+            likelihoods.append(likelihood)
+            chain = maximise(expected, vocab)
+            if len(likelihoods) > 1 and likelihood - likelihoods[-2] < RISE * abs(likelihood):
+                break
     return HMM(chain, sent, counts, likelihoods)
 
 

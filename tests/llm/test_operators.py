@@ -308,6 +308,17 @@ def test_language_model_learns_from_all_rows_alike(spark, monkeypatch):
     assert all(np.allclose(a, b, rtol=1e-6) for a, b in zip((model.chain.start, model.chain.move, model.chain.emit), (other.chain.start, other.chain.move, other.chain.emit), strict=True))
 
 
+def test_every_row_takes_part_in_the_search_of_a_start(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "SAMPLE", 10)
+    rows = spark.createDataFrame([(i, f"w{i} w{i % 7}") for i in range(250)] + [(7, None), (None, "alone")], "doc_id bigint, text string")
+    seen, counted = [], hmm.expected_counts
+    monkeypatch.setattr(hmm, "expected_counts", lambda texts, *a: seen.append(texts.count()) or counted(texts, *a))
+    hmm.fit(rows)
+    warm, full = seen[: hmm.WARM], seen[hmm.WARM :]
+    assert sum(warm) == 252 and len(warm) == hmm.WARM and max(warm) < 60
+    assert full and set(full) == {252}
+
+
 def test_expected_counts_do_not_depend_on_pieces(monkeypatch):
     draw = np.random.default_rng(1)
     emit = draw.random((9, 3))
