@@ -157,6 +157,14 @@ def test_the_job_takes_one_exchange(spark, sf_dir, tmp_path):
     assert run.panel.count() > 0
 
 
+def test_a_task_gets_few_rows_of_a_large_table(spark, sf_dir, monkeypatch):
+    """A bucket is a task's work: its sorts and windows take memory by its rows."""
+    monkeypatch.setattr(pipeline, "person_sizes", lambda *a, **o: (None, 6_000_000))
+    monkeypatch.setattr(pipeline, "stage_bucketed", lambda df, key, order, buckets, name: df)
+    _, buckets = pipeline.prepared_buckets(episodes(spark, sf_dir), default_lookups(spark))
+    assert 6_000_000 / buckets <= 250_000
+
+
 def test_numbers_of_a_run(spark, sf_dir):
     df = episodes(spark, sf_dir)
     turned = df.where("persnr = 1").withColumns({"begepi": F.lit("1999-05-01").cast("date"), "endepi": F.lit("1998-05-01").cast("date"), "spell": F.col("spell") + 1000})
