@@ -13,9 +13,10 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from careerpanel.llm import bpe, decontam, exact_dedup, hmm, html_text, jaccard, langid, quality, sharding, token_counts
+from careerpanel.llm import bpe, components, decontam, exact_dedup, hmm, html_text, jaccard, langid, quality, sharding, token_counts
 from careerpanel.llm.common import fold
 from careerpanel.llm.pretokens import pieces
+from careerpanel.sources.staging import stage
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string, lang string, id string, kept int, score double, c bigint, name string"
@@ -207,6 +208,29 @@ def test_jaccard_cuts_chains_by_rare_shingles(spark, monkeypatch):
     assert len(set(cut.values())) > 10
 
 
+def test_components_of_chains_stars_and_small_groups(spark, monkeypatch):
+    """Few rounds of few written tables, each in no more tasks than its rows are worth, whatever the session deals to."""
+    written = []
+    monkeypatch.setattr(components, "stage", lambda df, name: written.append((name, df := stage(df, name))) or df)
+    draw = np.random.default_rng(4)
+    links = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1400)] + [(2000, 2000), (2002, 2001), (2001, 2002)]
+    links += [(3000 + int(a), 3000 + int(b)) for a, b in draw.integers(0, 300, (150, 2))]
+    least = {}
+    for u, v in [x for x in links if x[0] != x[1]] * 300:
+        least[u] = least[v] = min(least.get(u, u), least.get(v, v))
+    deal = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = components.components(spark.createDataFrame(links, "u bigint, v bigint")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", deal)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r.node: r.label for r in got} == least and len(got) == len(least)
+    assert len(written) <= 25
+    assert all(len(df.inputFiles()) <= 8 for _, df in written[1:])
+
+
 def test_parts_of_linked_sets_meet():
     draw = np.random.default_rng(5)
     for percent in (80, 90):
