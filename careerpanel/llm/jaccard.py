@@ -20,6 +20,8 @@ CACHE = 400_000
 TREE, LEAF, WORDS = 2000, 16, (16, 1024)
 #: A set goes on if at least one in SHARE of its hashes is among the least of other sets, too.
 SHARE = 20
+#: Sets that link have one part in common more for each ALIKE shingles that they may differ in.
+ALIKE = 3
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -64,13 +66,13 @@ class Shingler:
 
 
 class Parts:
-    """Keys such that any two unlike sets that link have one in common.
+    """Groups of keys such that any two unlike sets that link have enough in common of one group.
 
     Sizes fall into bands; sets that link are in the same or in neighbouring bands. For two neighbouring
-    bands the sets that link differ in at most D shingles. If shingles are dealt by hash into D + 1 + E
-    parts, at least 1 + E parts are alike, and unless more than E parts of a set are empty (then that is a
-    key), a part alike is not empty. A key is the hash of such a part. Sets that merely share a passage
-    have rarely a whole part in common. E is what chance makes of empty parts, and four deviations.
+    bands the sets that link differ in at most D shingles. If shingles are dealt by hash into D + T + E
+    parts, at least T + E parts are alike, and unless more than E parts of a set are empty (then that is a
+    key of a group of its own), T parts alike are not empty. A key is the hash of such a part. Sets that merely share
+    a passage have rarely a whole part in common, and seldom T. E is what chance makes of empty parts, and four deviations.
     """
 
     def __init__(self, percent: int):
@@ -78,22 +80,23 @@ class Parts:
         while self.starts[-1] < 1 << 40:
             self.starts.append(self.starts[-1] * 100 // percent + 1)
 
-    def deal(self, lower: int, differ: int) -> tuple[int, int]:
-        """The number of parts for two bands, and how many may be empty."""
+    def deal(self, lower: int, differ: int) -> tuple[int, int, int]:
+        """The number of parts for two bands, how many are alike and not empty at least, and how many may be empty."""
         if lower not in self.deals:
-            m = self.starts[lower]
+            m, need = self.starts[lower], 1 + differ // ALIKE
             for empty in range(1, 4 * m + 10):
-                n = differ + 1 + empty
+                n = differ + need + empty
                 mean = n * (1 - 1 / n) ** m
                 spread = max(0.0, mean + n * (n - 1) * (1 - 2 / n) ** m - mean * mean) ** 0.5
                 if empty >= mean + 4 * spread:
                     break
-            self.deals[lower] = n, empty
+            self.deals[lower] = n, need, empty
         return self.deals[lower]
 
-    def __call__(self, s: np.ndarray) -> np.ndarray:
+    def groups(self, s: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """For each group how many keys sets that link share at least, and the set's keys."""
         if not len(s):
-            return np.empty(0, np.uint64)
+            return []
         band = int(np.searchsorted(self.starts, len(s), side="right")) - 1
         mixed = _mix(s ^ _A)
         out = []
@@ -101,15 +104,19 @@ class Parts:
             differ = (100 - self.percent) * 2 * (self.starts[lower + 2] - 1) // (100 + self.percent) if lower >= 0 else 0
             if not differ:
                 continue  # such sets link only when they are equal
-            n, empty = self.deal(lower, differ)
+            n, need, empty = self.deal(lower, differ)
             part = (mixed % np.uint64(n)).astype(np.int64)
             sums, sizes = np.zeros(n, np.uint64), np.bincount(part, minlength=n)
             np.add.at(sums, part, _mix(mixed * _B))
             keys = _mix(sums ^ _mix(np.arange(n, dtype=np.uint64) * _A + np.uint64(lower)))[sizes > 0]
+            out.append((need, keys))
             if n - len(keys) > empty:
-                keys = np.append(keys, _mix(np.array([~lower & 0xFFFFFFFF], np.uint64) * _A))
-            out.append(keys)
-        return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
+                out.append((1, _mix(np.array([~lower & 0xFFFFFFFF], np.uint64) * _A)))
+        return out
+
+    def __call__(self, s: np.ndarray) -> np.ndarray:
+        """The set's keys of all groups."""
+        return np.unique(np.concatenate([np.empty(0, np.uint64), *(keys for _, keys in self.groups(s))]))
 
 
 def least_common(n: int, percent: int) -> int:
@@ -260,6 +267,22 @@ def refine(sets: DataFrame, percent: int) -> DataFrame:
     return sets.drop("k").join(components(edges).select(F.col("node").alias("c"), F.col("label").alias("k")), "c").select("k", "c", "set")
 
 
+def rare_parts(groups: DataFrame) -> DataFrame:
+    """(c, part): the keys of ``groups`` (c, need, value) in which classes that link meet, of each group of keys.
+
+    Sets that link share ``need`` keys of a group, so one of all but ``need`` less one, in an order of keys that is the same
+    for both: keys of one class alone come first and meet nothing, then those of few rows. So a class with
+    fewer than ``need`` keys that others have, which is most that merely share passages, meets none and makes no chains.
+    """
+    each = groups.select("c", "need", F.posexplode("value").alias("g", "keys"))
+    entries = each.select("c", "g", F.get("need", F.col("g")).alias("need"), F.explode("keys").alias("part"))
+    often = entries.groupBy("part").agg(F.count("*").alias("n"), F.min("c").alias("u"), F.max("c").alias("v")).where("u <> v").select("part", "n")
+    # of one set; equal rows give their class' keys once each
+    shared = entries.join(stage(often, "often"), "part").groupBy("c", "g", "need").agg(F.sort_array(F.collect_set(F.struct("n", "part"))).alias("of"))
+    keys = F.greatest(F.lit(0), F.size("of") - F.col("need").cast("int") + 1)
+    return shared.select("c", F.explode(F.slice("of", F.lit(1), keys)).alias("e")).select("c", "e.part")
+
+
 def _unit(*parts) -> list:
     return [F.xxhash64(*parts).alias("unit"), F.xxhash64(*parts).alias("part")]
 
@@ -319,9 +342,9 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     nothing. Repeated rows and equal sets are one set from the start. Further columns are not read.
 
     Equal sets are one class. Only classes whose ``prefix`` meets those of others often enough can link. Of these, classes
-    that link share a key of ``Parts``; classes that share one, by any chain, form a cluster, and within
-    clusters signature trees find the links. Large clusters are cut by their rarest shingles before. Tables that
-    are written on the way are deleted when the next ones stand.
+    that link share keys of ``Parts``, and one of the rarest of them; classes that share such a one, by any chain, form a
+    cluster, and within clusters signature trees find the links. Large clusters are cut by their rarest shingles before.
+    Tables that are written on the way are deleted when the next ones stand.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
 
@@ -352,8 +375,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
         met = stage(marked.join(shared, "mark").groupBy("c").agg(F.count("*").alias("met")), "met")
         first = keep(first.drop("marks").join(met, "c").where("met >= need").select("c", "digest", "key"), "first")
 
-    def whole_sets(after: Callable[[np.ndarray], np.ndarray]):
-        """(c, value): of a class' own text, not of one with an equal key, what ``after`` makes of its set."""
+    def whole_sets(after: Callable[[list[np.ndarray]], list[pa.Array]], names: tuple[str, ...] = ("value",)):
+        """(c, names): of a class' own text, not of one with an equal key, what ``after`` makes of its set."""
 
         def start():
             shingle = Shingler(width)
@@ -362,25 +385,35 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
                 sets = [shingle(t) for t in strings(batch, 2)]
                 digests = batch.column(1).to_pylist()
                 right = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == digests[i]]
-                values = lists([after(sets[i]).view(np.int64) for i in right], pa.int64())
-                return pa.record_batch([batch.column(0).take(pa.array(right, pa.int64())), values], names=["c", "value"])
+                return pa.record_batch([batch.column(0).take(pa.array(right, pa.int64())), *after([sets[i] for i in right])], names=["c", *names])
 
             return step
 
         return start
 
+    def whole(sets: list[np.ndarray]) -> list[pa.Array]:
+        return [lists([s.view(np.int64) for s in sets], pa.int64())]
+
+    parts = Parts(percent)
+
+    def grouped(sets: list[np.ndarray]) -> list[pa.Array]:
+        groups = [parts.groups(s) for s in sets]
+        need = lists([np.array([n for n, _ in g], np.int64) for g in groups], pa.int64())
+        ends = pa.array(np.cumsum([0, *map(len, groups)]), pa.int32())
+        return [need, pa.ListArray.from_arrays(ends, lists([keys.view(np.int64) for g in groups for _, keys in g], pa.int64()))]
+
     texts = rows.select("key", "text")
     with scratch(spark) as keep:
-        # equal rows give their class' keys once each
-        keyed = map_slices(texts.join(first, "key").select("c", "digest", "text"), whole_sets(Parts(percent)), "c bigint, value array<bigint>")
-        entries = stage(keyed, "parts").select("c", F.explode("value").alias("part"))
+        found = texts.join(first, "key").select("c", "digest", "text")
+        keyed = map_slices(found, whole_sets(grouped, ("need", "value")), "c bigint, need array<bigint>, value array<array<bigint>>")
+        entries = stage(rare_parts(stage(keyed, "parts")), "rare-parts")
         star = entries.groupBy("part").agg(F.min("c").alias("u"), F.max("c").alias("v")).where("u <> v").drop("v")
         star = stage(star, "stars")
         edges = entries.join(star, "part").where("c <> u").select("u", F.col("c").alias("v")).distinct()
         clusters = keep(components(edges), "clusters")
     with scratch(spark) as keep:
         members = first.join(clusters, F.col("c") == F.col("node"), "left_semi")
-        found = map_slices(texts.join(members, "key").select("c", "digest", "text"), whole_sets(lambda s: s), "c bigint, value array<bigint>")
+        found = map_slices(texts.join(members, "key").select("c", "digest", "text"), whole_sets(whole), "c bigint, value array<bigint>")
         sets = stage(found.join(clusters, F.col("c") == F.col("node")).select(F.col("label").alias("k"), "c", F.col("value").alias("set")), "sets")
         linked = components(stage(_join_sets(sets, percent), "links")).withColumnRenamed("node", "c")
         labels = classes.join(linked, "c", "left").withColumn("label", F.coalesce("label", "c"))

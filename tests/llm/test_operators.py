@@ -208,6 +208,28 @@ def test_jaccard_cuts_chains_by_rare_shingles(spark, monkeypatch):
     assert len(set(cut.values())) > 10
 
 
+def test_linked_sets_share_rare_parts_and_passages_make_no_chains(spark):
+    """Texts of 300 words, each of which has a passage of 90 in common with the next, do not hang together."""
+    draw = np.random.default_rng(12)
+    shingle, parts = jaccard.Shingler(5), jaccard.Parts(80)
+    own = [[f"t{i}x{k}" for k in range(300)] for i in range(60)]
+    texts = [own[i][:210] + own[(i + 1) % 60][:90] for i in range(60)]
+    for i in range(0, 60, 3):  # above 0.8 with the text itself
+        near_by = list(texts[i])
+        for k in draw.integers(0, 300, 5):
+            near_by[k] = "v"
+        texts.append(near_by)
+    sets = [shingle(" ".join(t)) for t in texts]
+    groups = [(i, [n for n, _ in parts.groups(s)], [k.view(np.int64).tolist() for _, k in parts.groups(s)]) for i, s in enumerate(sets)]
+    groups += groups[:5]  # a row read twice
+    frame = spark.createDataFrame(groups, "c bigint, need array<bigint>, value array<array<bigint>>")
+    met = {}
+    for r in jaccard.rare_parts(frame).collect():
+        met.setdefault(r.part, set()).add(r.c)
+    pairs = {(a, b) for at in met.values() for a in at for b in at if a < b}
+    assert pairs == {(i, 60 + i // 3) for i in range(0, 60, 3)}
+
+
 def test_components_of_chains_stars_and_small_groups(spark, monkeypatch):
     """Few rounds of few written tables, each in no more tasks than its rows are worth, whatever the session deals to."""
     written = []
