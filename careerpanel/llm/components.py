@@ -17,7 +17,7 @@ def _few(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _placed(node: str) -> Column:
-    """Nodes compare by hash: in an order that has nothing to do with the links, which shortens chains by half a round."""
+    """Nodes compare by hash: in an order that has nothing to do with the links, so a chain of ascending nodes shrinks as any other."""
     return F.struct(F.xxhash64(node).alias("h"), F.col(node).alias("node"))
 
 
