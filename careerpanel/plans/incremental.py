@@ -12,14 +12,14 @@ from careerpanel.plans.pipeline import PanelRun, finish_panel, impute_people, ru
 from careerpanel.schema import PANEL, conform
 from careerpanel.sources.ingest import BATCH_SIZE, assign_batches
 from careerpanel.sources.staging import remove, scratch, stage
-from careerpanel.sources.store import LEDGER, EpisodeStore
+from careerpanel.sources.store import LEDGER, EpisodeStore, folder_of, read_folders, write_folders
 
 PERSONS = "persnr bigint, pn_batch bigint, load string"
 
 
 @dataclass(frozen=True)
 class PanelStore:
-    """Episodes, the state of persons, and the panel, each in folders by batch.
+    """Episodes, the state of persons, and the panel, each in folders by batches (``folder_of``).
 
     ``deliver`` takes episodes, ``refresh`` brings the panel up to date. A person stays in the batch that their first
     delivery put them in, so whatever concerns them lies in one folder. The state of a person is their prepared rows:
@@ -69,9 +69,9 @@ class PanelStore:
         return self.episodes.ledger().join(done, ["load", "pn_batch"], "left_anti").select("load", "pn_batch")
 
     def touched_rows(self, pending: DataFrame) -> DataFrame:
-        """The episodes of all persons in the pending deliveries. Folders of other batches aren't read."""
+        """The episodes of all persons in the pending deliveries. Folders without these batches aren't read."""
         batches = [r["pn_batch"] for r in pending.select("pn_batch").distinct().collect()]  # those of the deliveries
-        rows = self.episodes.read().where(F.col("pn_batch").isin(batches))
+        rows = self.episodes.read(batches)
         persons = rows.join(F.broadcast(pending), ["load", "pn_batch"], "left_semi").select("persnr").distinct()
         return rows.join(stage(persons, "touched"), "persnr", "left_semi").drop("load")
 
@@ -109,32 +109,34 @@ class PanelStore:
 
     def _replace(self, name: str, new: DataFrame, persons: DataFrame) -> None:
         """The rows of ``persons`` in a table are replaced by ``new``, in the folders of their batches alone."""
-        folder, old = f"{self.path}/{name}", self._table(name)
-        batches = [r["pn_batch"] for r in persons.select("pn_batch").distinct().collect()]
-        whole = new
-        if old is not None:
-            stay = old.where(F.col("pn_batch").isin(batches)).withColumn("pn_batch", F.col("pn_batch").cast("long"))
-            whole = new.unionByName(stay.join(persons.select("persnr"), "persnr", "left_anti"))
-        whole = stage(whole, name)
-        gathered = whole.hint("rebalance", F.col("pn_batch")).sortWithinPartitions("pn_batch", "persnr")
-        gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pn_batch").parquet(folder)
-        for batch in set(batches) - {r["pn_batch"] for r in whole.select("pn_batch").distinct().collect()}:
-            remove(self.spark, f"{folder}/pn_batch={batch}")
+        path = f"{self.path}/{name}"
+        touched = persons.select(folder_of(F.col("pn_batch")).alias("_folder")).distinct()
+        folders = [r["_folder"] for r in touched.collect()]
+        whole, before = new, {}
+        if self.episodes.exists(path):
+            old = read_folders(self.spark, path).where(folder_of(F.col("_folder")).isin(folders))
+            files = old.groupBy("_folder").agg(F.max("_metadata.file_name").alias("file"))
+            before = {r["_folder"]: r["file"] for r in files.collect()}  # a row per folder
+            whole = new.unionByName(old.drop("_folder").join(persons.select("persnr"), "persnr", "left_anti"))
+        # what is read here is replaced when all tasks have ended
+        write_folders(whole.withColumn("_folder", folder_of(F.col("pn_batch"))), path, order=("_batch", "persnr"))
+        for folder, file in before.items():
+            if self.episodes.exists(f"{path}/pn_batch={folder}/{file}"):  # no rows are left that replace it
+                remove(self.spark, f"{path}/pn_batch={folder}")
 
     def refit(self, handling: str = "wage", cutoff: tuple[int, int] = (6, 30), seed: int = 0, compat: bool = False) -> None:
         """Fits the wages of all persons anew, from their state, and rebuilds the panel; biographies stay."""
         with scratch(self.spark):
-            state = self._table("state")
-            if state is None:
+            if not self.episodes.exists(f"{self.path}/state"):
                 raise ValueError(f"{self.path} has no state yet")
-            imputed, fits, bound = impute_people(People(state.withColumn("pn_batch", F.col("pn_batch").cast("long"))), seed, compat, None)
+            state = read_folders(self.spark, f"{self.path}/state").drop("_folder")
+            imputed, fits, bound = impute_people(People(state), seed, compat, None)
             panel = stage(finish_panel(imputed.merged(), handling, *cutoff, keep=("pn_batch",)).select(*PANEL, "pn_batch"), "panel")
-            self._replace("panel", panel, stage(state.select("persnr", F.col("pn_batch").cast("long").alias("pn_batch")).distinct(), "persons"))
+            self._replace("panel", panel, stage(state.select("persnr", "pn_batch").distinct(), "persons"))
             self._keep_wages(fits, bound)
 
     def panel(self) -> DataFrame:
         """The panel as of the last refresh, with ``pn_batch``."""
-        found = self._table("panel")
-        if found is None:
+        if not self.episodes.exists(f"{self.path}/panel"):
             raise ValueError(f"{self.path} has no panel yet")
-        return found.select(*PANEL, F.col("pn_batch").cast("long").alias("pn_batch"))
+        return read_folders(self.spark, f"{self.path}/panel").select(*PANEL, "pn_batch")

@@ -7,6 +7,7 @@ from careerpanel.plans import pipeline
 from careerpanel.plans.adapter import episodes
 from careerpanel.plans.incremental import PanelStore
 from careerpanel.schema import PANEL
+from careerpanel.sources import store as stores
 from tests.helpers import rows_of
 
 SIZE = 120
@@ -127,3 +128,30 @@ def test_the_same_episode_in_two_deliveries_raises(spark, rows, tmp_path):
     store.deliver(rows.where("persnr = 1 and spell = 1"), "b")
     with pytest.raises(Exception, match="not a key"):
         store.refresh()
+
+
+def test_many_batches_take_few_folders(spark, rows, tmp_path, monkeypatch):
+    """Later folders hold several batches, and a refresh leaves the other batches of its folders as they are."""
+    monkeypatch.setattr(stores, "FOLDER_BITS", 2)
+    store = PanelStore(spark, str(tmp_path / "s"), 20)
+    late = (F.col("persnr") % 9 == 0) & (F.col("spell") > 4)
+    new = F.col("persnr") > 140
+    for load, part in enumerate((rows.where(~late & ~new), rows.where(late), rows.where(new & ~late))):
+        store.deliver(part, str(load))
+        store.refresh(reports=False)
+    batches = store.panel().select("pn_batch").distinct().count()
+    assert batches > 40
+    for table in ("panel", "state", "episodes/rows"):
+        assert len(list((tmp_path / "s" / table).glob("pn_batch=*"))) < 20, table
+    fits, bound = store.wages()
+    assert _equal(store, pipeline.prepare_panel(rows, fits=fits, bound=bound))
+
+
+def test_rows_that_all_go_leave_no_folder(spark, rows, tmp_path):
+    store = PanelStore(spark, str(tmp_path / "s"), 20)
+    some = rows.where("persnr < 6").selectExpr("*", "persnr as pn_batch")
+    persons = some.select("persnr", "pn_batch").distinct()
+    store._replace("panel", some, persons)
+    store._replace("panel", some.where("pn_batch <> 2"), persons.where("pn_batch <= 2"))
+    assert rows_of(stores.read_folders(spark, f"{store.path}/panel").drop("_folder")) == rows_of(some.where("pn_batch <> 2"))
+    assert not list((tmp_path / "s" / "panel").glob("pn_batch=2"))
